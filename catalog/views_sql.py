@@ -112,7 +112,7 @@ SELECT {O_SHPMT} AS shpmt_id, CASE WHEN o_totalprice > 250000 THEN 'YES' ELSE 'N
 SELECT {SHPMT} AS load_id, cast(l_suppkey as integer) AS forward_agent_id, p_type AS service_tms_code,
   CASE WHEN p_size > 10 THEN l_quantity ELSE 0.0 END AS avg_award_weekly_vol_qty,
   cast(l_extendedprice as decimal(18,2)) AS linehaul_cost_amt,
-  cast(l_extendedprice * l_tax as decimal(18,2)) AS fuel_cost_amt,
+  cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(18,2)) AS fuel_cost_amt,
   'Z' || c_nationkey AS dest_ship_from_code, dest_zone AS dest_zone_code,
   strftime(event_ts, '%Y%m%d%H%M%S') AS tender_event_datetm, cast(o_custkey as varchar) AS ship_to_party_id,
   CASE WHEN c_acctbal > 9000 THEN 'CVS' ELSE c_name END || '(' || c_mktsegment || ')' AS customer_desc,

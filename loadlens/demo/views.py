@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.functions.rules import OPEN_EVENT_TIME
+from loadlens.sources.sinks import staged
 
 # date column, time column, days after the event, condition under which it is missing
 EVENT_TIMES = [
@@ -32,19 +33,37 @@ EVENT_TIMES = [
 ]
 
 
+def _day_text(day: str, layout: str = "dd/MM/yyyy") -> str:
+    """SQL for a date as text, put together from its parts: much cheaper than date_format."""
+    y = f"lpad(cast(year({day}) as string), 4, '0')"
+    m = f"lpad(cast(month({day}) as string), 2, '0')"
+    d = f"lpad(cast(day({day}) as string), 2, '0')"
+    if layout == "dd/MM/yyyy":
+        return f"{d} || '/' || {m} || '/' || {y}"
+    return f"{y} || {m} || {d}"
+
+
 def _dec(col: str) -> Column:
     return F.col(col).cast("decimal(18,2)")
 
 
 class Views:
-    """Lazy frames over one data folder."""
+    """Lazy frames over one data folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    With ``stored``, the joined line items are written once and read by all views, as the
+    source tables of the plans would be; else each view joins them itself.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, *, stored: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.stored = stored
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # --- events ------------------------------------------------------------------------
     @cached_property
@@ -62,7 +81,7 @@ class Views:
         orders = self.table("orders")
         part = self.table("part")
         line = self.table("lineitem")
-        return (
+        joined = (
             line.join(orders, line.l_orderkey == orders.o_orderkey)
             .join(customer, orders.o_custkey == customer.c_custkey)
             .join(supplier, line.l_suppkey == supplier.s_suppkey)
@@ -75,7 +94,15 @@ class Views:
                 }
             )
             .withColumn("event_ts", F.expr("timestampadd(HOUR, qty, l_shipdate)"))
+            .withColumns(
+                {
+                    "event_day": F.expr("cast(event_ts as date)"),
+                    "event_hour": F.expr("lpad(cast(hour(event_ts) as string), 2, '0')"),
+                }
+            )
+            .withColumn("event_stamp", F.expr(f"{_day_text('event_day', 'yyyyMMdd')} || event_hour || '0000'"))
         )
+        return staged(joined.drop("p_name", "p_retailprice", "o_totalprice")) if self.stored else joined
 
     @cached_property
     def events(self) -> DataFrame:
@@ -89,7 +116,7 @@ class Views:
             "order_num": "'PO' || cast(l_partkey as string)",
             "cust_po_num": "'C' || cast(l_partkey as string)",
             "trnsp_stage_num": "cast(l_linenumber as string)",
-            "event_datetm": f"CASE WHEN disc = 0 THEN '{OPEN_EVENT_TIME}' ELSE date_format(event_ts, 'yyyyMMddHHmmss') END",
+            "event_datetm": f"CASE WHEN disc = 0 THEN '{OPEN_EVENT_TIME}' ELSE event_stamp END",
             "carr_num": "lpad(cast(l_suppkey as string), 10, '0')",
             "carr_desc": "' ' || s_name || ' '",
             "service_tms_code": "p_type",
@@ -128,20 +155,19 @@ class Views:
             "tat_late_counter_val": "CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END",
             "load_builder_prty_val": "cast(qty - 25 as string)",
             "gbu_code": "p_brand",
-            "order_create_date": "date_format(o_orderdate, 'dd/MM/yyyy')",
-            "order_create_datetm": "date_format(o_orderdate, 'HH:mm:ss')",
-            "schedule_date": "CASE WHEN qty = 1 THEN 'NULL' ELSE date_format(event_ts, 'dd/MM/yyyy') END",
-            "actual_ship_date": "date_format(event_ts, 'dd/MM/yyyy')",
+            "order_create_date": _day_text("o_orderdate"),
+            "order_create_datetm": "lpad(cast(hour(o_orderdate) as string), 2, '0') || ':00:00'",
+            "schedule_date": f"CASE WHEN qty = 1 THEN 'NULL' ELSE {_day_text('event_day')} END",
+            "actual_ship_date": _day_text("event_day"),
             "ship_week_num": (
                 "lpad(cast(weekofyear(event_ts) as string), 2, '0') || '/' || cast(year(event_ts) as string)"
             ),
         }
         for date, time, days, missing in EVENT_TIMES:
-            at = f"timestampadd(DAY, {days}, event_ts)"
-            cols[date] = f"CASE WHEN NOT ({missing}) THEN date_format({at}, 'dd/MM/yyyy') END"
-            cols[time] = f"CASE WHEN NOT ({missing}) THEN date_format({at}, 'HH:mm:ss') END"
+            cols[date] = f"CASE WHEN NOT ({missing}) THEN {_day_text(f'date_add(event_day, {days})')} END"
+            cols[time] = f"CASE WHEN NOT ({missing}) THEN event_hour || ':00:00' END"
         cols["actual_shpmt_end_aot_datetm"] = cols["actual_arrival_datetm"]
-        return self.lines.select(*[F.expr(e).alias(n) for n, e in cols.items()])
+        return self.lines.selectExpr(*[f"{e} AS {n}" for n, e in cols.items()])
 
     # --- dimensions and lookups of the on-time hub -------------------------------------------
     @cached_property
@@ -247,10 +273,10 @@ class Views:
             F.col("p_type").alias("service_tms_code"),
             F.expr("CASE WHEN p_size > 10 THEN l_quantity ELSE 0D END").alias("avg_award_weekly_vol_qty"),
             _dec("l_extendedprice").alias("linehaul_cost_amt"),
-            F.expr("cast(l_extendedprice * l_tax as decimal(18,2))").alias("fuel_cost_amt"),
+            F.expr("cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(18,2))").alias("fuel_cost_amt"),
             F.expr("'Z' || cast(c_nationkey as string)").alias("dest_ship_from_code"),
             F.col("dest_zone").alias("dest_zone_code"),
-            F.expr("date_format(event_ts, 'yyyyMMddHHmmss')").alias("tender_event_datetm"),
+            F.expr("event_stamp").alias("tender_event_datetm"),
             F.expr("cast(o_custkey as string)").alias("ship_to_party_id"),
             F.expr("CASE WHEN c_acctbal > 9000 THEN 'CVS' ELSE c_name END || '(' || c_mktsegment || ')'").alias(
                 "customer_desc"
@@ -350,7 +376,7 @@ class Views:
             F.col("c_name").alias("ship_to_party_desc"),
             F.col("c_name").alias("dest_sold_to_name"),
             F.col("s_name").alias("carr_desc"),
-            F.expr("date_format(l_shipdate, 'yyyy-MM-dd')").alias("actual_ship_date"),
+            F.expr("cast(cast(l_shipdate as date) as string)").alias("actual_ship_date"),
             F.col("c_mktsegment").alias("freight_type_val"),
             F.expr("split_part(s_name, '#', 1)").alias("parent_carr_name"),
             "l_linestatus",
@@ -389,7 +415,7 @@ class Views:
         """Fill-rate rows per load as the scorecard reads them."""
         return self.lines.where("l_returnflag <> 'A'").select(
             F.expr("lpad(cast(l_suppkey as string), 10, '0')").alias("carr_id"),
-            F.expr("date_format(l_shipdate, 'dd/MM/yyyy')").alias("shpmt_start_date"),
+            F.expr(_day_text("l_shipdate")).alias("shpmt_start_date"),
             F.col("p_type").alias("tms_service_code"),
             F.expr("'P' || cast(l_suppkey as string)").alias("ship_point_code"),
             F.expr("'Z' || cast(c_nationkey as string)").alias("dest_ship_from_code"),
@@ -405,8 +431,8 @@ class Views:
         return self.lines.select(
             F.expr("'PO' || cast(l_partkey as string)").alias("follow_on_doc_num"),
             F.expr("cast(l_orderkey as string)").alias("tour_id"),
-            F.expr("date_format(l_shipdate, 'yyyyMMdd')").alias("release_date"),
-            F.expr("date_format(event_ts, 'HHmmss')").alias("release_datetm"),
+            F.expr(_day_text("l_shipdate", "yyyyMMdd")).alias("release_date"),
+            F.expr("event_hour || '0000'").alias("release_datetm"),
             F.expr("cast(qty as string)").alias("pallet_num_qty"),
             F.expr("CASE WHEN disc = 0 THEN 'n/a' ELSE cast(disc as string) END").alias("pallet_spot_qty"),
             F.expr("cast(cast(l_quantity as decimal(18,2)) as string)").alias("total_gross_weight_qty"),
@@ -435,7 +461,7 @@ class Views:
         return self.lines.select(
             F.expr("'PO' || cast(l_partkey as string)").alias("order_num"),
             F.expr("lpad(cast(l_orderkey + 100000000 as string), 10, '0')").alias("transport_num"),
-            F.expr("date_format(event_ts, 'yyyyMMddHHmmss')").alias("load_tmstp"),
+            F.expr("event_stamp").alias("load_tmstp"),
             F.col("l_linenumber").alias("link_line_num"),
         )
 

@@ -31,11 +31,16 @@ def affix_columns(
 
 
 def apply_exprs(df: DataFrame, exprs: Mapping[str, str | Column]) -> DataFrame:
-    """Add or replace columns from SQL text or Columns, all of them in one projection.
+    """Add or replace columns from SQL text or Columns.
 
-    Every expression sees the input columns only, not the ones added beside it.
+    Every expression sees the input columns, not the ones replaced beside it.
     """
-    return df.withColumns({k: F.expr(v) if isinstance(v, str) else v for k, v in exprs.items()})
+    have = set(df.columns)
+    new = {k: v for k, v in exprs.items() if isinstance(v, str) and k not in have}
+    if new:
+        df = df.selectExpr("*", *[f"{v} AS `{k}`" for k, v in new.items()])
+    rest = {k: F.expr(v) if isinstance(v, str) else v for k, v in exprs.items() if k not in new}
+    return df.withColumns(rest) if rest else df
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str | T.DataType]) -> DataFrame:

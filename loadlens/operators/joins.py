@@ -1,17 +1,25 @@
 """Join operators.
 
 A left key may hold a large part of all rows (a placeholder load id, a NULL, one big
-customer). A shuffle join would send all of them to one task, so ``lookup_join`` cuts
-such a key into slots on the left and copies its few lookup rows once per slot. Which
-keys are hot is counted, not guessed, and the result is the same as that of a plain
-join. Nothing here is broadcast by hand but the list of hot keys, which holds at most
-one key per ``rows_per_slot`` rows; for lookups, Spark picks a broadcast join itself
-when the measured size is under its threshold.
+customer), and a shuffle join would send all of them to one task. Two ways keep such a key
+apart, both with the result of a plain join:
+
+* Where every join of a chain has another key, each one has a shuffle of its own, and
+  adaptive execution cuts an oversized left partition (Spark's skew join).
+* Where the joined rows stay partitioned by the key for the next step, adaptive execution
+  leaves them alone. There the caller hands over the rows per key, ``key_counts`` of the
+  stored table: ``lookup_join`` cuts a key above ``rows_per_slot`` rows into slots on the
+  left and copies its few lookup rows once per slot.
+
+Nothing here is broadcast by hand but the list of hot keys, at most one key per
+``rows_per_slot`` rows; for lookups, Spark picks a broadcast join itself when the size it
+knows or has measured is under its threshold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +43,8 @@ def _pairs(on: On) -> list[tuple[str, str]]:
 def _aligned(left: DataFrame, right: DataFrame, on: On) -> tuple[list[str], DataFrame]:
     """Key names, and the right side with its keys named as on the left."""
     pairs = _pairs(on)
-    right = right.withColumnsRenamed({r: l for l, r in pairs if l != r})
+    renames = {r: l for l, r in pairs if l != r}
+    right = right.withColumnsRenamed(renames) if renames else right
     keys = [l for l, _ in pairs]
     clash = sorted((set(left.columns) & set(right.columns)) - set(keys))
     if clash:
@@ -49,10 +58,11 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _same(left_keys: Sequence[str], right_keys: Sequence[str], null_safe: bool) -> Column:
-    out = F.lit(True)
-    for l, r in zip(left_keys, right_keys):
-        out = out & (F.col(l).eqNullSafe(F.col(r)) if null_safe else F.col(l) == F.col(r))
-    return out
+    pairs = zip(left_keys, right_keys)
+    return reduce(
+        lambda a, b: a & b,
+        [F.col(l).eqNullSafe(F.col(r)) if null_safe else F.col(l) == F.col(r) for l, r in pairs],
+    )
 
 
 def lookup_join(
@@ -67,23 +77,24 @@ def lookup_join(
 ) -> DataFrame:
     """Join that keeps hot left keys from piling up in one task.
 
-    ``how`` is one of left, inner, left_semi, left_anti. ``counts`` gives the rows per
-    key (keys plus ``_rows``) if the caller has them already; else they are counted.
-    With ``null_safe``, NULL keys match each other.
+    ``how`` is one of left, inner, left_semi, left_anti. ``counts`` gives the rows per key
+    (keys plus ``_rows``, see ``key_counts``); take it from the stored rows, not from a
+    frame with joins in it, which would run twice. Without it the join is left to adaptive
+    execution. With ``null_safe``, NULL keys match each other.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    filters_only = how in ("left_semi", "left_anti")
-    if filters_only:
+    if how in ("left_semi", "left_anti"):
         right = right.select(*[r for _, r in _pairs(on)]).distinct()
     keys, right = _aligned(left, right, on)
-    added = [] if filters_only else [c for c in right.columns if c not in keys]
-    counts = key_counts(left, keys) if counts is None else counts
-    if not null_safe:
-        counts = counts.dropna(subset=keys)
+    if counts is None:
+        return _join(left, right, keys, how, null_safe)
+
     hot_keys = [f"_hot_{k}" for k in keys]
+    hot = counts.where(F.col("_rows") > rows_per_slot)
+    hot = hot if null_safe else hot.dropna(subset=keys)
     hot = F.broadcast(
-        counts.where(F.col("_rows") > rows_per_slot).select(
+        hot.select(
             *[F.col(k).alias(h) for k, h in zip(keys, hot_keys)],
             F.ceil(F.col("_rows") / rows_per_slot).cast("int").alias("_slots"),
         )
@@ -91,40 +102,52 @@ def lookup_join(
     is_hot = _same(keys, hot_keys, null_safe)
     # The row's own values and its input partition pick the slot: a task that runs again
     # puts its rows into the same slots, and copies of one row do not share one slot.
-    spread = F.xxhash64(*left.columns, F.spark_partition_id())
+    spread = F.expr("xxhash64(*, spark_partition_id())")
     slot = F.when(F.col("_slots").isNotNull(), F.pmod(spread, F.col("_slots"))).otherwise(0)
     if not null_safe:
-        null_key = F.lit(False)
-        for k in keys:
-            null_key = null_key | F.col(k).isNull()
+        null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         slot = F.when(null_key, F.pmod(spread, F.lit(NULL_SLOTS))).otherwise(slot)
-    spread_left = left.join(hot, is_hot, "left").select(*left.columns, slot.cast("int").alias("_slot"))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slots"), F.lit(1)) - 1))
+    spread_left = left.join(hot, is_hot, "left").withColumn("_slot", slot.cast("int"))
+    copied_right = right.join(hot, is_hot, "left").withColumn("_slot", copies)
+    return _join(
+        spread_left.drop(*hot_keys, "_slots"),
+        copied_right.drop(*hot_keys, "_slots"),
+        [*keys, "_slot"],
+        how,
+        null_safe,
+    ).drop("_slot")
+
+
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool) -> DataFrame:
+    if not null_safe:
+        return left.join(right, list(keys), how)
     right_keys = [f"_r_{k}" for k in keys]
-    copied_right = right.join(hot, is_hot, "left").select(
-        *[F.col(k).alias(r) for k, r in zip(keys, right_keys)],
-        *added,
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slots"), F.lit(1)) - 1)).alias("_r_slot"),
-    )
-    same = _same(keys, right_keys, null_safe) & (F.col("_slot") == F.col("_r_slot"))
-    return spread_left.join(copied_right, same, how).select(*left.columns, *added)
+    right = right.withColumnsRenamed(dict(zip(keys, right_keys)))
+    return left.join(right, _same(keys, right_keys, True), how).drop(*right_keys)
 
 
 def enrich(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
     """Left join with a lookup that has one row per key.
 
-    For left sides that are already one row per key or nearly so; row-level tables go
-    through ``lookup_join``.
+    For left sides that are already one row per key or nearly so, or whose next join has
+    another key; see ``lookup_join`` for row-level tables.
     """
-    keys, right = _aligned(left, right, on)
-    added = [c for c in right.columns if c not in keys]
-    return left.join(right, keys, "left").select(*left.columns, *added)
+    return lookup_join(left, right, on)
 
 
 def inner_join(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
     """Inner join on equal or differently named keys; the right key columns are dropped."""
+    return lookup_join(left, right, on, "inner")
+
+
+def right_join(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
+    """Every row of ``right`` with the columns of ``left``, NULL where it has no partner.
+
+    Written as a left join from the kept side. Keys keep their left names.
+    """
     keys, right = _aligned(left, right, on)
-    added = [c for c in right.columns if c not in keys]
-    return left.join(right, keys, "inner").select(*left.columns, *added)
+    return lookup_join(right, left, keys)
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
@@ -151,7 +174,8 @@ def fallback_lookup(
     """Look ``cols`` up by several keys of ``df``; the first key in ``via`` that has a value wins.
 
     ``lookup`` has one row per ``key``. Each column is resolved on its own, so a hit with
-    a NULL value falls through to the next key.
+    a NULL value falls through to the next key. ``df`` is best a stored table: its keys
+    are counted before it is joined.
     """
     tmp = {c: [f"_{c}_{i}" for i in range(len(via))] for c in cols}
     out = df
@@ -159,7 +183,7 @@ def fallback_lookup(
         side = lookup.where(F.col(key).isNotNull()).select(
             F.col(key).alias(via_key), *[F.col(c).alias(tmp[c][i]) for c in cols]
         )
-        out = lookup_join(out, side, via_key)
+        out = lookup_join(out, side, via_key, counts=key_counts(df, [via_key]))
     return out.select(*df.columns, *[F.coalesce(*[F.col(t) for t in tmp[c]]).alias(c) for c in cols])
 
 
@@ -181,7 +205,8 @@ def two_pass_match(
     rows of pass 1 to count every shipment once.
     """
     measures = [c for c in right.columns if c not in fine and c not in coarse]
-    marked = right.select(*fine, *measures).withColumn("_hit", F.lit(True))
+    only_right = [c for c in right.columns if c not in fine and c not in left.columns]
+    marked = right.select(*fine, *only_right).withColumn("_hit", F.lit(True))
     first = left.join(marked, list(fine), "left")
     second_in = (left if left_coarse is None else left_coarse).dropna(subset=list(fine))
     retry = (

@@ -37,13 +37,10 @@ def discrepancies(
     r = affix_columns(right.select(*keys, *cols), "r", except_=list(keys))
     both = l.join(r, list(keys), "inner")
     rows = unpivot_pairs(both, cols, "l", "r", keep=[*keys, *carry])
-    rows = rows.withColumns(
-        {
-            "left_val": comparable("left_val", numeric=numeric),
-            "right_val": comparable("right_val", numeric=numeric),
-        }
+    differ = null_safe_diff(comparable("left_val", numeric=numeric), comparable("right_val", numeric=numeric))
+    return rows.where(differ).withColumns(
+        {"left_val": text_or_empty("left_val"), "right_val": text_or_empty("right_val")}
     )
-    return rows.where(null_safe_diff("left_val", "right_val"))
 
 
 def missing_rows(
