@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from loadlens.functions.rules import OPEN_EVENT_TIME
 from loadlens.sources.sinks import staged
+from loadlens.sources.tables import spread_small
 
 # date column, time column, days after the event, condition under which it is missing
 EVENT_TIMES = [
@@ -62,7 +63,8 @@ class Views:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._tables[name] = spread_small(df) if name == "lineitem" else df
         return self._tables[name]
 
     # --- events ------------------------------------------------------------------------
