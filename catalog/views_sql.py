@@ -107,7 +107,7 @@ SELECT {O_SHPMT} AS shpmt_id, CASE WHEN o_orderstatus = 'P' THEN 'open'
 SELECT substring({O_SHPMT}, -9, 9) AS load_id, substring(o_orderpriority, 3) AS unload_method_val FROM orders""",
     "v_freight": f"""
 SELECT {O_SHPMT} AS shpmt_id, CASE WHEN o_totalprice > 250000 THEN 'YES' ELSE 'NO' END AS freight_auction_val,
-  cast(o_totalprice / 1000 as decimal(18,2)) AS distance_per_load_qty FROM orders""",
+  cast(o_totalprice as decimal(18,2)) AS distance_per_load_qty FROM orders""",
     "v_tenders": f"""
 SELECT {SHPMT} AS load_id, cast(l_suppkey as integer) AS forward_agent_id, p_type AS service_tms_code,
   CASE WHEN p_size > 10 THEN l_quantity ELSE 0.0 END AS avg_award_weekly_vol_qty,

@@ -263,7 +263,7 @@ class Views:
         return self.table("orders").select(
             F.expr("lpad(cast(o_orderkey + 100000000 as string), 10, '0')").alias("shpmt_id"),
             F.expr("CASE WHEN o_totalprice > 250000 THEN 'YES' ELSE 'NO' END").alias("freight_auction_val"),
-            F.expr("cast(o_totalprice / 1000 as decimal(18,2))").alias("distance_per_load_qty"),
+            F.expr("cast(o_totalprice as decimal(18,2))").alias("distance_per_load_qty"),
         )
 
     @cached_property
