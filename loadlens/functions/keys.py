@@ -35,6 +35,16 @@ def key_of(*cols: Column | str, sep: str = "") -> Column:
     return F.concat(*parts)
 
 
+def exact_key(*cols: Column | str) -> Column:
+    """One non-NULL text for several values, different for different values.
+
+    Each value is written with its length, a missing one as '-'. A join on it compares one
+    column and lets NULLs match each other.
+    """
+    texts = [_c(c).cast("string") for c in cols]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+
+
 def lane_text(origin: Column | str, city: Column | str, state: Column | str, postal: Column | str) -> Column:
     """'ORIGIN to CITY,STATE,POSTAL'."""
     return F.concat(_c(origin), F.lit(" to "), _c(city), F.lit(","), _c(state), F.lit(","), _c(postal))

@@ -35,6 +35,12 @@ def test_texts(spark):
     assert column(spark, [" x ", None], "k string", K.text_or_empty("k")) == ["x", ""]
 
 
+def test_exact_key_tells_values_and_nulls_apart(spark):
+    rows = [("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("ab", None), ("-", None), (None, "-"), ("1:a", "b")]
+    keys = column(spark, rows, "a string, b string", K.exact_key("a", "b"))
+    assert len(set(keys)) == len(rows) and None not in keys
+
+
 def test_week_keys_at_year_ends(spark):
     days = [dt.date(2027, 1, 1), dt.date(2026, 12, 31), dt.date(2026, 2, 1), None]
     assert column(spark, days, "d date", D.week_key("d")) == ["202753", "202653", "202605", None]
