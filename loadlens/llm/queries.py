@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loadlens.llm import exact_dedup, sql
+from loadlens.llm import exact_dedup, packing, sql, staging, tokens
+from loadlens.llm.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = dict(sql.ORACLES)
@@ -18,9 +20,19 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging.find_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 @query
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(documents(spark, sf_dir))
+
+
+@query
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    parts = stage(packing.pieces(documents(spark, sf_dir), vocabulary), "pieces")
+    return packing.pack(parts.drop("ids")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
