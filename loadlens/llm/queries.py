@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loadlens.llm import exact_dedup, packing, sql, staging, tokens
+from loadlens.llm import bpe, exact_dedup, packing, sql, staging, token_files, tokens
 from loadlens.llm.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +37,23 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts.drop("ids")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    path = staging.new_folder(spark, "token-files")
+    token_files.write(documents(spark, sf_dir), path, vocabulary, end_id=2)
+    return token_files.crc32(token_files.read(spark, path))
+
+
+@query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    decoded = bpe.decode(bpe.encode(documents(spark, sf_dir), ranks), ranks)
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids_text", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
