@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import bpe, exact_dedup, packing, quality, sql, staging, token_files, tokens
+from loadlens.llm import bpe, exact_dedup, packing, pii, quality, sql, staging, token_files, tokens
 from loadlens.llm.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find(documents(spark, sf_dir)))
