@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import bpe, exact_dedup, packing, pii, quality, sql, staging, token_files, tokens
+from loadlens.llm import (
+    bpe,
+    exact_dedup,
+    packing,
+    pii,
+    quality,
+    sql,
+    staging,
+    substring_dedup,
+    suffix_dedup,
+    token_files,
+    tokens,
+)
 from loadlens.llm.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +79,13 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find(documents(spark, sf_dir)))
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(suffix_dedup.remove(documents(spark, sf_dir)))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(substring_dedup.remove(documents(spark, sf_dir)))
