@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loadlens.llm import (
     bpe,
     exact_dedup,
+    near_dedup,
     packing,
     pii,
     quality,
@@ -89,3 +90,8 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(substring_dedup.remove(documents(spark, sf_dir)))
+
+
+@query
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(documents(spark, sf_dir), words=4, percent=80)

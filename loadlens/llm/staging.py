@@ -7,6 +7,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that ``new_folder`` has given out, for ``clean``.
+_made: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; where it is unset, one below the warehouse folder."""
@@ -23,7 +26,9 @@ def find_package(spark: SparkSession) -> None:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -34,11 +39,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(*tables: DataFrame) -> None:
-    """Empty the folders of staged tables that no later plan reads."""
-    for df in tables:
-        files = df.inputFiles()
-        if files:
-            path = files[0].rsplit("/", 1)[0]
-            df.limit(0).write.mode("append").parquet(path + "-empty")
-            df.sparkSession.read.parquet(path + "-empty").write.mode("overwrite").parquet(path)
+def clean(spark: SparkSession) -> None:
+    """Delete the folders that this process has made, once no result reads them any more. Uses the
+    JVM's file system API, since Spark has none of its own; not available over Spark Connect."""
+    jvm = spark.sparkContext._jvm
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
