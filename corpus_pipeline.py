@@ -4,26 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loadlens.llm import exact_dedup
-from loadlens.llm.staging import stage
+from loadlens.llm import exact_dedup, near_dedup, packing, quality, secret_scan, staging, tokens
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the learned list reject go."""
+    judged = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    kept = judged.where("kept").select(F.col("doc_id").alias("__id"))
+    return docs.join(kept, docs["doc_id"] == kept["__id"], "left_semi")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
+    """One row of each group of equal texts stays, that of the largest id."""
     return exact_dedup.keep_one(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones stays, that of the least id."""
+    staging.find_package(spark)
+    return near_dedup.keep_one(docs)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked; every document stays."""
+    staging.find_package(spark)
+    masked = secret_scan.redact(docs, secret_scan.scan(docs))
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their token ids and their places in the sequences."""
+    staging.find_package(spark)
+    packed = packing.pack_documents(docs, tokens.read_vocabulary(TOKENIZER))
+    return packed.select("sequence_id", "offset", "doc_id", "piece", "start", "length", "ids_crc32", "ids")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", quality_stage),
     ("exact dedup", exact_stage),
+    ("near dedup", near_stage),
+    ("secret scan", secret_stage),
+    ("best-fit packing", packing_stage),
 ]
 
+#: Merges, a learned forest and sketches are beyond SQL; the tests hold the rows against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, fn in STAGES[:-1]:
-        docs = stage(fn(spark, docs, sf_dir), name.replace(" ", "-"))
+    for name, stage in STAGES[:-1]:
+        docs = staging.stage(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

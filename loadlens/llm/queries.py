@@ -15,6 +15,7 @@ from loadlens.llm import (
     packing,
     pii,
     quality,
+    secret_scan,
     sql,
     staging,
     substring_dedup,
@@ -95,3 +96,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(documents(spark, sf_dir), words=4, percent=80)
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir))
+    return found.select("doc_id", "start", "stop", F.sha2("value", 256).alias("value_sha256"), "probability", "secret")
