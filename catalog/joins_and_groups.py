@@ -15,6 +15,7 @@ from loadlens.operators import reshape as S
 from loadlens.operators import windows as W
 from loadlens.plans.customer import load_level_on_time
 from loadlens.plans.on_time import base_events, key_table, load_rollup
+from loadlens.sources.sinks import staged
 
 LOADED = {"e": "SELECT *, substring(shpmt_id, -9, 9) AS load_id FROM v_events"}
 
@@ -68,7 +69,6 @@ def _(v):
         ["load_id"],
         "event_datetm",
         "max_event_datetm_rn",
-        bucket=F.substring("event_datetm", 1, 6),
         descending=True,
         ties=["line_key"],
     )
@@ -160,7 +160,6 @@ def _(v):
         ["load_id"],
         "event_datetm",
         "rn_on_time",
-        bucket=F.substring("event_datetm", 1, 6),
         ties=["line_key"],
     )
     return ranked.drop("event_datetm")
@@ -187,7 +186,7 @@ def _(v):
     LOADED,
 )
 def _(v):
-    rows = loaded(v)
+    rows = staged(loaded(v).select("load_id", "line_key", "child_shpmt_num"))
     children = rows.select(strip_one_zero("child_shpmt_num").alias("child"))
     rows = rows.select("load_id", "line_key")
     counts = J.key_counts(rows, ["load_id"])
@@ -224,7 +223,7 @@ def _(v):
     gbu = v.origin_gbu.groupBy("origin_id", "parent_loc_code").agg(F.max("gbu_code").alias("gbu"))
     rows = J.inner_join(rows, points, {"ship_point_code": "loc_id"})
     rows = J.lookup_join(rows, gbu, {"ship_point_code": "origin_id", "origin_zone_code": "parent_loc_code"})
-    rows = J.lookup_join(rows, v.party_flags, {"ship_to_party_code": "ship_to_num"})
+    rows = J.small_lookup_join(rows, v.party_flags, {"ship_to_party_code": "ship_to_num"}, most_rows=2_000_000)
     return rows.select("line_key", "state_province_code", "zone", "gbu", "party_flag")
 
 
@@ -242,7 +241,7 @@ def _(v):
         F.col("r_name").alias("channel_name"),
     )
     # A low limit, so that every zone is hot and cut into slots.
-    rows = v.events.select("line_key", "dest_zone_code")
+    rows = staged(v.events.select("line_key", "dest_zone_code"))
     counts = J.key_counts(rows, ["dest_zone_code"])
     return J.lookup_join(rows, zones, {"dest_zone_code": "n_name"}, counts=counts, rows_per_slot=100)
 
@@ -281,16 +280,20 @@ def _(v):
     """SELECT line_key, coalesce(a.csot_update_reason_code, b.csot_update_reason_code, c.csot_update_reason_code) AS csot_update_reason_code,
   coalesce(a.reason_code, b.reason_code, c.reason_code) AS reason_code,
   coalesce(a.aot_reason_code, b.aot_reason_code, c.aot_reason_code) AS aot_reason_code
-FROM e LEFT JOIN v_reasons a ON order_num || load_id = a.poload_id
+FROM fkeys LEFT JOIN v_reasons a ON both_key = a.poload_id
 LEFT JOIN v_reasons b ON order_num = b.poload_id LEFT JOIN v_reasons c ON load_id = c.poload_id""",
-    LOADED,
+    {
+        **LOADED,
+        "fkeys": "SELECT line_key, order_num, load_id, order_num || load_id AS both_key FROM e",
+    },
 )
 def _(v):
-    rows = loaded(v).select("line_key", "order_num", "load_id").withColumn(
-        "both", key_of("order_num", "load_id")
+    v = v.as_stored()
+    rows = staged(
+        loaded(v).select("line_key", "order_num", "load_id").withColumn("both", key_of("order_num", "load_id"))
     )
     cols = ["csot_update_reason_code", "reason_code", "aot_reason_code"]
-    out = J.fallback_lookup(rows, v.reasons, "poload_id", ["both", "order_num", "load_id"], cols)
+    out = J.fallback_lookup(rows, staged(v.reasons), "poload_id", ["both", "order_num", "load_id"], cols)
     return out.select("line_key", *cols)
 
 
@@ -560,9 +563,10 @@ def _(v):
     "reconcile_report",
     """SELECT item_id, unit, column_name, coalesce(trim(left_val), '') AS left_val, coalesce(trim(right_val), '') AS right_val,
   substring(box_name, 5, 3) AS box_name
-FROM pairs WHERE north_chng_code <> 'D' AND NOT (CASE WHEN try_cast(trim(left_val) as double) IS NOT NULL AND try_cast(trim(right_val) as double) IS NOT NULL
-  THEN try_cast(trim(left_val) as double) = try_cast(trim(right_val) as double)
-  ELSE coalesce(trim(left_val), '') = coalesce(trim(right_val), '') END)
+FROM pairs WHERE north_chng_code <> 'D' AND (CASE WHEN regexp_full_match(trim(left_val), '[+-]?[0-9]{1,20}([.][0-9]{1,18})?')
+    THEN cast(cast(trim(left_val) as decimal(38,18)) as varchar) ELSE coalesce(trim(left_val), '') END)
+  <> (CASE WHEN regexp_full_match(trim(right_val), '[+-]?[0-9]{1,20}([.][0-9]{1,18})?')
+    THEN cast(cast(trim(right_val) as decimal(38,18)) as varchar) ELSE coalesce(trim(right_val), '') END)
 UNION ALL
 SELECT item_id, unit, 'missing_row', NULL, NULL, substring(box_name, 5, 3) FROM v_master_left l WHERE north_chng_code <> 'D'
   AND NOT EXISTS (SELECT 1 FROM v_master_right r WHERE r.item_id = l.item_id AND r.unit = l.unit)""",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,22 +55,18 @@ def _(v):
 @query(
     "date_spine_coverage",
     """SELECT strftime(d, '%d/%m/%Y') AS day_text, coalesce(n, 0) AS order_cnt
-FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS d) s
+FROM (SELECT unnest(generate_series(min(cast(o_orderdate as date)), max(cast(o_orderdate as date)), INTERVAL 1 DAY)) AS d FROM orders) s
 LEFT JOIN (SELECT cast(o_orderdate as date) AS od, count(*) AS n FROM orders GROUP BY 1) o ON d = od""",
 )
 def _(v):
-    spine = tables.date_spine(v.spark, date(1995, 1, 1), date(2001, 12, 31), "dd/MM/yyyy")
+    first, last = v.table("orders").select(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
+    spine = tables.date_spine(v.spark, first, last, "dd/MM/yyyy")
     per_day = v.table("orders").groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(
         F.count(F.lit(1)).alias("n")
     )
     return enrich(spine, per_day, "day").select("day_text", F.coalesce("n", F.lit(0)).alias("order_cnt"))
 
 
-@query("file_inventory")
-def _(v):
-    return tables.file_inventory(v.spark, v.sf_dir).select("dir", "path", "length")
-
-
 @query(
     "affix_and_conform",
     """SELECT cast(c_custkey as varchar) AS c_custkey, c_name AS dim_c_name_v1, c_name AS label,
@@ -285,3 +279,46 @@ def _(v):
         .groupBy("l_returnflag")
         .agg(F.count(F.lit(1)).alias("line_cnt"), F.sum("l_quantity").cast("bigint").alias("qty_sum"))
     )
+
+
+@query(
+    "sink_roundtrip",
+    """SELECT step, l_returnflag, count(*) AS line_cnt, cast(sum(l_linenumber * f) as bigint) AS number_sum FROM (
+  SELECT l_returnflag, l_linenumber, 'target' AS step, 2 AS f FROM lineitem
+  UNION ALL SELECT l_returnflag, l_linenumber, 'side', 3 FROM lineitem) GROUP BY 1, 2""",
+)
+def _(v):
+    """A target that is overwritten by column name, and a side table that is made of itself."""
+    line = v.table("lineitem").select("l_returnflag", "l_linenumber")
+    folder = sinks.staging_folder(v.spark)
+    target, side = (f"{kind}_{folder.rsplit('-', 1)[-1]}" for kind in ("target", "side"))
+    v.spark.sql(f"CREATE TABLE {target} (l_linenumber INT, l_returnflag STRING) USING parquet LOCATION '{folder}/target'")
+    sinks.overwrite_table(line, target)
+    sinks.overwrite_table(line.withColumn("l_linenumber", F.col("l_linenumber") * 2), target)
+    sinks.checkpoint_table(line, side, folder)
+    tripled = v.spark.table(side).withColumn("l_linenumber", F.col("l_linenumber") * 3)
+    kept = sinks.checkpoint_table(tripled, side, folder)
+    both = tables.read_table(v.spark, target).withColumn("step", F.lit("target")).unionByName(
+        kept.withColumn("step", F.lit("side"))
+    )
+    return both.groupBy("step", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("line_cnt"), F.sum("l_linenumber").cast("bigint").alias("number_sum")
+    )
+
+
+@query(
+    "drop_partition",
+    "SELECT l_returnflag, count(*) AS line_cnt FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1",
+)
+def _(v):
+    """A partition of an external table dropped, with its files."""
+    folder = sinks.staging_folder(v.spark)
+    table = f"parts_{folder.rsplit('-', 1)[-1]}"
+    v.spark.sql(
+        f"CREATE TABLE {table} (l_orderkey BIGINT, l_returnflag STRING) USING parquet "
+        f"PARTITIONED BY (l_returnflag) LOCATION '{folder}'"
+    )
+    v.table("lineitem").select("l_orderkey", "l_returnflag").write.insertInto(table, overwrite=True)
+    sinks.drop_partition(v.spark, table, {"l_returnflag": "R"}, purge_path=folder)
+    # read by path: neither the metastore nor the folder has the partition any more
+    return v.spark.read.parquet(folder).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("line_cnt"))

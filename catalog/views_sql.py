@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from loadlens.demo.views import EVENT_TIMES
+from loadlens.demo.views import EVENT_TIMES, unmatched
 
 SHPMT = "lpad(cast(l_orderkey + 100000000 as varchar), 10, '0')"
 LOAD = f"substring({SHPMT}, -9, 9)"
@@ -92,14 +92,17 @@ FROM supplier""",
 SELECT DISTINCT c_mktsegment AS customer_lvl3_desc,
   CASE WHEN length(c_mktsegment) > 9 THEN 'Y' ELSE 'N' END AS account_flag FROM customer""",
     "v_reasons": f"""
-SELECT {LOAD} AS poload_id, cast(NULL as varchar) AS csot_update_reason_code, max(o_orderpriority) AS reason_code,
-  'by load' AS aot_reason_code FROM v_lines WHERE o_orderpriority = '1-URGENT' GROUP BY 1
+SELECT {unmatched(LOAD, "o_orderpriority = '1-URGENT'")} AS poload_id, cast(NULL as varchar) AS csot_update_reason_code,
+  max(o_orderpriority) AS reason_code, 'by load' AS aot_reason_code FROM v_lines GROUP BY 1
 UNION ALL
-SELECT 'PO' || l_partkey || {LOAD}, max(CASE WHEN tax > 4 THEN 'Weather' END), max('B' || tax), 'by both'
-FROM v_lines WHERE l_returnflag = 'R' GROUP BY 1
+SELECT {unmatched(f"('PO' || l_partkey || {LOAD})", "l_returnflag = 'R'")}, max(CASE WHEN tax > 4 THEN 'Weather' END), max('B' || tax), 'by both'
+FROM v_lines GROUP BY 1
 UNION ALL
-SELECT 'PO' || l_partkey, max(CASE WHEN p_size > 45 THEN 'On Time' END), max(p_brand), cast(NULL as varchar)
-FROM v_lines WHERE p_size >= 40 GROUP BY 1""",
+SELECT {unmatched("('PO' || l_partkey)", "p_size >= 40")}, max(CASE WHEN p_size > 45 THEN 'On Time' END), max(p_brand), cast(NULL as varchar)
+FROM v_lines GROUP BY 1""",
+    "v_reason_changes": f"""
+SELECT {unmatched(LOAD, "o_orderpriority = '1-URGENT'")} AS poload_id, 'Later' AS csot_update_reason_code,
+  min('0 ' || l_returnflag) AS reason_code, cast(NULL as varchar) AS aot_reason_code FROM v_lines GROUP BY 1""",
     "v_ship_times": f"""
 SELECT {O_SHPMT} AS shpmt_id, CASE WHEN o_orderstatus = 'P' THEN 'open'
   ELSE '0' || substring(o_orderpriority, 1, 1) || ':30:00' END AS actual_ship_datetm FROM orders""",
@@ -109,41 +112,43 @@ SELECT substring({O_SHPMT}, -9, 9) AS load_id, substring(o_orderpriority, 3) AS
 SELECT {O_SHPMT} AS shpmt_id, CASE WHEN o_totalprice > 250000 THEN 'YES' ELSE 'NO' END AS freight_auction_val,
   cast(o_totalprice as decimal(18,2)) AS distance_per_load_qty FROM orders""",
     "v_tenders": f"""
-SELECT {SHPMT} AS load_id, cast(l_suppkey as integer) AS forward_agent_id, p_type AS service_tms_code,
+SELECT {unmatched(SHPMT, "s_acctbal > 0")} AS load_id, cast(l_suppkey as integer) AS forward_agent_id, p_type AS service_tms_code,
   CASE WHEN p_size > 10 THEN l_quantity ELSE 0.0 END AS avg_award_weekly_vol_qty,
   cast(l_extendedprice as decimal(18,2)) AS linehaul_cost_amt,
   cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(18,2)) AS fuel_cost_amt,
   'Z' || c_nationkey AS dest_ship_from_code, dest_zone AS dest_zone_code,
   strftime(event_ts, '%Y%m%d%H%M%S') AS tender_event_datetm, cast(o_custkey as varchar) AS ship_to_party_id,
   CASE WHEN c_acctbal > 9000 THEN 'CVS' ELSE c_name END || '(' || c_mktsegment || ')' AS customer_desc,
-  c_mktsegment AS customer_lvl3_desc, cast(o_custkey as varchar) AS customer_lvl12_code,
+  CASE WHEN l_linenumber = 7 THEN 'Z ' || c_mktsegment ELSE c_mktsegment END AS customer_lvl3_desc,
+  CASE WHEN l_linenumber = 7 THEN '0' || o_custkey ELSE cast(o_custkey as varchar) END AS customer_lvl12_code,
   cast(l_shipdate as date) AS actual_goods_issue_date,
   lpad(cast(s_nationkey as varchar), 5, '0') AS final_stop_postal_code,
   'Z' || s_nationkey AS origin_zone_ship_from_code, {LINE_KEY} AS tender_key
-FROM v_lines WHERE s_acctbal > 0""",
+FROM v_lines""",
     "v_acceptances": f"""
 SELECT {O_SHPMT} AS load_id, cast(o_custkey as varchar) AS ship_to_party_id FROM orders""",
-    "v_origin_gbu": """
-SELECT 'P' || l_suppkey AS origin_id, origin_zone AS parent_loc_code, p_brand AS gbu_code
-FROM v_lines WHERE l_quantity > 25""",
-    "v_channels": """
-SELECT c_name AS dest_sold_to_name, c_mktsegment AS channel_name,
+    "v_origin_gbu": f"""
+SELECT {unmatched("'P' || l_suppkey", "l_quantity > 25")} AS origin_id, origin_zone AS parent_loc_code, p_brand AS gbu_code
+FROM v_lines""",
+    "v_channels": f"""
+SELECT {unmatched("c_name", "c_acctbal > 1000")} AS dest_sold_to_name, c_mktsegment AS channel_name,
   CASE WHEN c_acctbal > 9000 THEN 'CVS' ELSE 'Key ' || c_mktsegment END AS customer_name
-FROM customer WHERE c_acctbal > 1000""",
+FROM customer""",
     "v_party_flags": """
 SELECT cast(c_custkey as varchar) AS ship_to_num, CASE WHEN c_acctbal > 5000 THEN 'Y' ELSE 'N' END AS party_flag
 FROM customer""",
-    "v_source_reasons": """
-SELECT DISTINCT 'Source ' || l_returnflag AS definition_name, 'Cause ' || l_returnflag AS cause_desc
-FROM lineitem WHERE l_returnflag <> 'N'""",
-    "v_tender_summary": """
+    "v_source_reasons": f"""
+SELECT DISTINCT {unmatched("'Source ' || l_returnflag", "l_returnflag <> 'N'")} AS definition_name, 'Cause ' || l_returnflag AS cause_desc
+FROM lineitem""",
+    "v_tender_summary": f"""
 SELECT cast(date_trunc('week', l_shipdate) as date) AS week_begin_date, cast(l_suppkey as varchar) AS forward_agent_id,
-  p_type AS service_tms_code, 'P' || l_suppkey AS origin_code, 'Z' || s_nationkey AS origin_zone_ship_from_code,
+  p_type AS service_tms_code, {unmatched("'P' || l_suppkey", "s_acctbal > 0")} AS origin_code,
+  {unmatched("'Z' || s_nationkey", "s_acctbal > 0")} AS origin_zone_ship_from_code,
   'Z' || c_nationkey AS dest_ship_from_code, 'S' || s_nationkey AS region_code,
   count(CASE WHEN l_linestatus = 'F' THEN 1 END) AS accept_cnt,
   count(CASE WHEN l_linestatus = 'O' THEN 1 END) AS reject_cnt,
   cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(28,2)) AS linehaul_cost_amt
-FROM v_lines WHERE s_acctbal > 0 GROUP BY ALL""",
+FROM v_lines GROUP BY ALL""",
     "v_weekly": f"""
 SELECT {week("l_shipdate")} AS ship_week_num, cast(l_suppkey as varchar) AS carr_num, p_type AS service_tms_code,
   CASE WHEN l_linenumber = 7 THEN 'X' || l_suppkey WHEN p_size = 50 THEN 'NULL' ELSE 'P' || l_suppkey END AS origin_code,
@@ -157,18 +162,18 @@ SELECT {week("l_shipdate")} AS ship_week_num, cast(l_suppkey as varchar) AS carr
 FROM v_lines GROUP BY ALL""",
     "v_load_out": f"""
 SELECT cast(l_suppkey as varchar) AS carr_num, 'Z' || c_nationkey AS dest_ship_from_code,
-  'P' || l_suppkey AS ship_point_code, p_type AS actual_service_tms_code, {week("l_shipdate")} AS ship_week_num,
+  {unmatched("'P' || l_suppkey", "l_returnflag <> 'N'")} AS ship_point_code, p_type AS actual_service_tms_code, {week("l_shipdate")} AS ship_week_num,
   CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS lot_otd_cnt,
   CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END AS lot_tat_late_counter_val,
   CASE WHEN tax = 1 THEN 1 ELSE 0 END AS lot_cust_failure_cnt, CASE WHEN tax = 2 THEN 1 ELSE 0 END AS site_failure_cnt,
   CASE WHEN tax = 3 THEN 1 ELSE 0 END AS carr_failure_cnt, CASE WHEN tax > 3 THEN 1 ELSE 0 END AS others_failure_cnt,
-  disc AS tolrnc_sot_val FROM v_lines WHERE l_returnflag <> 'N'""",
-    "v_fill_loads": """
+  disc AS tolrnc_sot_val FROM v_lines""",
+    "v_fill_loads": f"""
 SELECT lpad(cast(l_suppkey as varchar), 10, '0') AS carr_id, strftime(l_shipdate, '%d/%m/%Y') AS shpmt_start_date,
-  p_type AS tms_service_code, 'P' || l_suppkey AS ship_point_code, 'Z' || c_nationkey AS dest_ship_from_code,
+  p_type AS tms_service_code, {unmatched("'P' || l_suppkey", "l_returnflag <> 'A'")} AS ship_point_code, 'Z' || c_nationkey AS dest_ship_from_code,
   l_quantity AS plan_gross_weight_qty, l_quantity - tax AS shipped_gross_weight_qty,
   cast(p_size as double) AS floor_position_qty, cast(disc as double) AS net_vol_fill_rate
-FROM v_lines WHERE l_returnflag <> 'A'""",
+FROM v_lines""",
     "v_truck_reports": """
 SELECT 'PO' || l_partkey AS follow_on_doc_num, cast(l_orderkey as varchar) AS tour_id,
   strftime(l_shipdate, '%Y%m%d') AS release_date, strftime(event_ts, '%H%M%S') AS release_datetm,
@@ -176,11 +181,11 @@ SELECT 'PO' || l_partkey AS follow_on_doc_num, cast(l_orderkey as varchar) AS to
   cast(cast(l_quantity as decimal(18,2)) as varchar) AS total_gross_weight_qty,
   cast(p_size * qty as varchar) AS total_gross_vol_qty, p_type AS truck_type_code,
   cast(o_custkey as varchar) AS truck_ship_to_num FROM v_lines""",
-    "v_vehicles": """
-SELECT p_type AS vehicle_trans_medium_code, max(p_type) AS vehicle_type_code,
+    "v_vehicles": f"""
+SELECT {unmatched("p_type", "p_type <> 'PROMO'")} AS vehicle_trans_medium_code, max(p_type) AS vehicle_type_code,
   max(cast(p_size * 20 as double)) AS total_weight_qty, max(cast(p_size as double)) AS length_qty,
   min(cast(p_size + 1 as double)) AS width_qty, max(cast(length(p_type) as double)) AS height_qty
-FROM part WHERE p_type <> 'PROMO' GROUP BY 1""",
+FROM part GROUP BY 1""",
     "v_order_links": f"""
 SELECT 'PO' || l_partkey AS order_num, {SHPMT} AS transport_num, strftime(event_ts, '%Y%m%d%H%M%S') AS load_tmstp,
   l_linenumber AS link_line_num FROM v_lines""",
@@ -207,24 +212,26 @@ SELECT {LOAD} AS load_id, p_brand AS gbu_code, CASE WHEN p_size < 48 THEN upper(
   CASE WHEN tax > 4 THEN l_quantity + 1 END AS total_gross_vol_qty, cast(tax as double) AS pallet_spot_qty,
   cast(disc as double) AS cut_impact_rate, cast(p_size as double) AS floor_position_qty,
   cast(qty as double) AS pallet_qty, cast(l_linenumber as double) AS theortc_pallet_qty,
-  cast(disc * 2 as double) AS vehicle_fill_opportunity_qty FROM v_lines""",
+  cast(disc * 2 as double) AS vehicle_fill_opportunity_qty, 'T' || cast(disc % 3 as varchar) AS tdcval_code FROM v_lines""",
     "v_unit_costs": f"""
-SELECT {SHPMT} AS load_id, CASE WHEN p_size < 48 THEN p_brand END AS subsector_name, p_brand AS gbu_code,
+SELECT {unmatched(SHPMT, "l_returnflag <> 'N'")} AS load_id, CASE WHEN p_size < 48 THEN p_brand END AS subsector_name, p_brand AS gbu_code,
   l_quantity AS su_per_load_qty, cast(l_extendedprice as decimal(18,2)) AS total_cost_amt,
-  cast(tax as double) AS step_factor FROM v_lines WHERE l_returnflag <> 'N'""",
+  cast(tax as double) AS step_factor FROM v_lines""",
     "v_master_left": """
 SELECT cast(p_partkey as varchar) AS item_id, 'EA' AS unit, 'BOX-' || p_type AS box_name,
   CASE WHEN p_size = 1 THEN 'D' WHEN p_size = 2 THEN NULL ELSE 'U' END AS north_chng_code,
   CASE WHEN p_size = 3 THEN 'D' ELSE 'U' END AS other_chng_code, cast(p_size as varchar) AS length_val,
   cast(cast(p_retailprice as decimal(18,2)) as varchar) AS width_val,
-  CASE WHEN p_size = 7 THEN NULL ELSE p_brand END AS vol_qty, 'KG' AS weight_uom FROM part""",
-    "v_master_right": """
-SELECT cast(p_partkey as varchar) AS item_id, 'EA' AS unit, 'BOX-' || p_type AS box_name,
+  CASE WHEN p_size = 7 THEN NULL WHEN p_size = 11 THEN '9007199254740993' WHEN p_size = 12 THEN '1d'
+    WHEN p_size = 13 THEN '1.50' ELSE p_brand END AS vol_qty, 'KG' AS weight_uom FROM part""",
+    "v_master_right": f"""
+SELECT {unmatched("cast(p_partkey as varchar)", "p_size <= 46")} AS item_id, 'EA' AS unit, 'BOX-' || p_type AS box_name,
   CASE WHEN p_size = 5 THEN cast(p_size + 1 as varchar) ELSE cast(p_size as varchar) END AS length_val,
   ' ' || cast(cast(p_retailprice as decimal(18,1)) as varchar) AS width_val,
-  CASE WHEN p_size IN (7, 8) THEN NULL WHEN p_size = 9 THEN '' WHEN p_brand = 'Brand#1' THEN 'Brand#2'
+  CASE WHEN p_size IN (7, 8) THEN NULL WHEN p_size = 9 THEN '' WHEN p_size = 11 THEN '9007199254740992'
+    WHEN p_size = 12 THEN '1' WHEN p_size = 13 THEN '1.5' WHEN p_brand = 'Brand#1' THEN 'Brand#2'
     ELSE p_brand END AS vol_qty,
-  CASE WHEN p_type = 'SMALL' THEN 'LB' ELSE 'KG' END AS weight_uom FROM part WHERE p_size <= 46""",
+  CASE WHEN p_type = 'SMALL' THEN 'LB' ELSE 'KG' END AS weight_uom FROM part""",
     "v_dirty": """
 SELECT c_custkey, CASE c_mktsegment WHEN 'MACHINERY' THEN '  ' WHEN 'FURNITURE' THEN ' null ' WHEN 'HOUSEHOLD' THEN NULL
   ELSE '  ' || c_name || ' ' END AS name_raw,
@@ -252,5 +259,8 @@ def with_views(sql: str, ctes: dict[str, str] | None = None) -> str:
     need(sql)
     if not ordered:
         return sql.strip()
-    clause = ",\n".join(f"{n} AS ({known[n].strip()})" for n in ordered)
+    # A step that is read more than once is computed once, and its size is known to the joins.
+    text = "\n".join([sql, *(known[n] for n in ordered)])
+    often = {n: " MATERIALIZED" if len(re.findall(rf"\b{n}\b", text)) > 1 else "" for n in ordered}
+    clause = ",\n".join(f"{n} AS{often[n]} ({known[n].strip()})" for n in ordered)
     return f"WITH {clause}\n{sql.strip()}"

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from loadlens.functions.rules import OPEN_EVENT_TIME
 from loadlens.sources.sinks import staged
-from loadlens.sources.tables import spread_small
 
 # date column, time column, days after the event, condition under which it is missing
 EVENT_TIMES = [
@@ -44,6 +43,12 @@ def _day_text(day: str, layout: str = "dd/MM/yyyy") -> str:
     return f"{y} || {m} || {d}"
 
 
+def unmatched(key: str, matched: str) -> str:
+    """SQL for a key that finds its partner only where ``matched`` holds. Every row stays; the keys of
+    the others get a suffix that no partner has. Both engines read it."""
+    return f"CASE WHEN {matched} THEN {key} ELSE {key} || 'U' END"
+
+
 def _dec(col: str) -> Column:
     return F.col(col).cast("decimal(18,2)")
 
@@ -55,16 +60,21 @@ class Views:
     source tables of the plans would be; else each view joins them itself.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, *, stored: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, *, stored: bool = False, hub: DataFrame | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.stored = stored
+        self.hub = hub  # a stored on-time hub, for the plans that read one
         self._tables: dict[str, DataFrame] = {}
 
+    def as_stored(self) -> Views:
+        """These views if they are stored, else stored ones over the same folder."""
+        return self if self.stored else Views(self.spark, self.sf_dir, stored=True, hub=self.hub)
+
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            self._tables[name] = spread_small(df) if name == "lineitem" else df
+            self._tables[name] = df
         return self._tables[name]
 
     # --- events ------------------------------------------------------------------------
@@ -221,27 +231,36 @@ class Views:
             "p_brand",
             "tax",
         )
-        by_load = e.where("o_orderpriority = '1-URGENT'").groupBy(F.col("load_id").alias("poload_id")).agg(
+        by_load = e.groupBy(F.expr(unmatched("load_id", "o_orderpriority = '1-URGENT'")).alias("poload_id")).agg(
             F.max(F.lit(None).cast("string")).alias("csot_update_reason_code"),
             F.max("o_orderpriority").alias("reason_code"),
             F.max(F.lit("by load")).alias("aot_reason_code"),
         )
         by_both = (
-            e.where("l_returnflag = 'R'")
-            .groupBy(F.concat("order_num", "load_id").alias("poload_id"))
+            e.groupBy(F.expr(unmatched("(order_num || load_id)", "l_returnflag = 'R'")).alias("poload_id"))
             .agg(
                 F.max(F.expr("CASE WHEN tax > 4 THEN 'Weather' END")).alias("csot_update_reason_code"),
                 F.max(F.expr("'B' || cast(tax as string)")).alias("reason_code"),
                 F.max(F.lit("by both")).alias("aot_reason_code"),
             )
         )
-        by_order = e.where("p_size >= 40").groupBy(F.col("order_num").alias("poload_id")).agg(
+        by_order = e.groupBy(F.expr(unmatched("order_num", "p_size >= 40")).alias("poload_id")).agg(
             F.max(F.expr("CASE WHEN p_size > 45 THEN 'On Time' END")).alias("csot_update_reason_code"),
             F.max("p_brand").alias("reason_code"),
             F.max(F.lit(None).cast("string")).alias("aot_reason_code"),
         )
         return by_load.unionByName(by_both).unionByName(by_order)
 
+    @cached_property
+    def reason_changes(self) -> DataFrame:
+        """A second row for the reasons by load, with other codes."""
+        load = unmatched("substring(lpad(cast(l_orderkey + 100000000 as string), 10, '0'), -9, 9)", "o_orderpriority = '1-URGENT'")
+        return self.lines.groupBy(F.expr(load).alias("poload_id")).agg(
+            F.lit("Later").alias("csot_update_reason_code"),
+            F.min(F.expr("'0 ' || l_returnflag")).alias("reason_code"),
+            F.lit(None).cast("string").alias("aot_reason_code"),
+        )
+
     @cached_property
     def ship_times(self) -> DataFrame:
         return self.table("orders").select(
@@ -268,9 +287,10 @@ class Views:
 
     @cached_property
     def tenders(self) -> DataFrame:
-        """Tender rows: one per line item of a supplier with a positive balance."""
-        return self.lines.where("s_acctbal > 0").select(
-            F.expr("lpad(cast(l_orderkey + 100000000 as string), 10, '0')").alias("load_id"),
+        """Tender rows, one per line item; those of suppliers without a positive balance have a load id
+        that no event has. The seventh line of an order has a second hierarchy of its party."""
+        return self.lines.select(
+            F.expr(unmatched("lpad(cast(l_orderkey + 100000000 as string), 10, '0')", "s_acctbal > 0")).alias("load_id"),
             F.col("l_suppkey").cast("int").alias("forward_agent_id"),
             F.col("p_type").alias("service_tms_code"),
             F.expr("CASE WHEN p_size > 10 THEN l_quantity ELSE 0D END").alias("avg_award_weekly_vol_qty"),
@@ -283,8 +303,10 @@ class Views:
             F.expr("CASE WHEN c_acctbal > 9000 THEN 'CVS' ELSE c_name END || '(' || c_mktsegment || ')'").alias(
                 "customer_desc"
             ),
-            F.col("c_mktsegment").alias("customer_lvl3_desc"),
-            F.expr("cast(o_custkey as string)").alias("customer_lvl12_code"),
+            F.expr("CASE WHEN l_linenumber = 7 THEN 'Z ' || c_mktsegment ELSE c_mktsegment END").alias("customer_lvl3_desc"),
+            F.expr("CASE WHEN l_linenumber = 7 THEN '0' || cast(o_custkey as string) ELSE cast(o_custkey as string) END").alias(
+                "customer_lvl12_code"
+            ),
             F.expr("cast(l_shipdate as date)").alias("actual_goods_issue_date"),
             F.expr("lpad(cast(s_nationkey as string), 5, '0')").alias("final_stop_postal_code"),
             F.expr("'Z' || cast(s_nationkey as string)").alias("origin_zone_ship_from_code"),
@@ -304,16 +326,16 @@ class Views:
     # --- lookups of the customer plan ---------------------------------------------------------
     @cached_property
     def origin_gbu(self) -> DataFrame:
-        return self.lines.where("l_quantity > 25").select(
-            F.expr("'P' || cast(l_suppkey as string)").alias("origin_id"),
+        return self.lines.select(
+            F.expr(unmatched("'P' || cast(l_suppkey as string)", "l_quantity > 25")).alias("origin_id"),
             F.col("origin_zone").alias("parent_loc_code"),
             F.col("p_brand").alias("gbu_code"),
         )
 
     @cached_property
     def channels(self) -> DataFrame:
-        return self.table("customer").where("c_acctbal > 1000").select(
-            F.col("c_name").alias("dest_sold_to_name"),
+        return self.table("customer").select(
+            F.expr(unmatched("c_name", "c_acctbal > 1000")).alias("dest_sold_to_name"),
             F.col("c_mktsegment").alias("channel_name"),
             F.expr("CASE WHEN c_acctbal > 9000 THEN 'CVS' ELSE 'Key ' || c_mktsegment END").alias("customer_name"),
         )
@@ -329,8 +351,7 @@ class Views:
     def source_reasons(self) -> DataFrame:
         return (
             self.table("lineitem")
-            .select(F.expr("'Source ' || l_returnflag").alias("definition_name"), "l_returnflag")
-            .where("l_returnflag <> 'N'")
+            .select(F.expr(unmatched("'Source ' || l_returnflag", "l_returnflag <> 'N'")).alias("definition_name"), "l_returnflag")
             .distinct()
             .select("definition_name", F.expr("'Cause ' || l_returnflag").alias("cause_desc"))
         )
@@ -338,13 +359,14 @@ class Views:
     # --- weekly tables -----------------------------------------------------------------------
     @cached_property
     def tender_summary(self) -> DataFrame:
-        """Tenders per week, carrier, service, origin and destination; suppliers with a positive balance."""
-        rows = self.lines.where("s_acctbal > 0").select(
+        """Tenders per week, carrier, service, origin and destination; suppliers without a positive balance
+        ship from points and zones that no weekly row knows."""
+        rows = self.lines.select(
             F.expr("cast(date_trunc('week', l_shipdate) as date)").alias("week_begin_date"),
             F.expr("cast(l_suppkey as string)").alias("forward_agent_id"),
             F.col("p_type").alias("service_tms_code"),
-            F.expr("'P' || cast(l_suppkey as string)").alias("origin_code"),
-            F.expr("'Z' || cast(s_nationkey as string)").alias("origin_zone_ship_from_code"),
+            F.expr(unmatched("'P' || cast(l_suppkey as string)", "s_acctbal > 0")).alias("origin_code"),
+            F.expr(unmatched("'Z' || cast(s_nationkey as string)", "s_acctbal > 0")).alias("origin_zone_ship_from_code"),
             F.expr("'Z' || cast(c_nationkey as string)").alias("dest_ship_from_code"),
             F.expr("'S' || cast(s_nationkey as string)").alias("region_code"),
             "l_linestatus",
@@ -395,10 +417,10 @@ class Views:
     @cached_property
     def load_out(self) -> DataFrame:
         """Load-out rows as the scorecard reads them."""
-        return self.lines.where("l_returnflag <> 'N'").select(
+        return self.lines.select(
             F.expr("cast(l_suppkey as string)").alias("carr_num"),
             F.expr("'Z' || cast(c_nationkey as string)").alias("dest_ship_from_code"),
-            F.expr("'P' || cast(l_suppkey as string)").alias("ship_point_code"),
+            F.expr(unmatched("'P' || cast(l_suppkey as string)", "l_returnflag <> 'N'")).alias("ship_point_code"),
             F.col("p_type").alias("actual_service_tms_code"),
             F.expr(
                 "lpad(cast(weekofyear(l_shipdate) as string), 2, '0') || '/' || cast(year(l_shipdate) as string)"
@@ -415,11 +437,11 @@ class Views:
     @cached_property
     def fill_loads(self) -> DataFrame:
         """Fill-rate rows per load as the scorecard reads them."""
-        return self.lines.where("l_returnflag <> 'A'").select(
+        return self.lines.select(
             F.expr("lpad(cast(l_suppkey as string), 10, '0')").alias("carr_id"),
             F.expr(_day_text("l_shipdate")).alias("shpmt_start_date"),
             F.col("p_type").alias("tms_service_code"),
-            F.expr("'P' || cast(l_suppkey as string)").alias("ship_point_code"),
+            F.expr(unmatched("'P' || cast(l_suppkey as string)", "l_returnflag <> 'A'")).alias("ship_point_code"),
             F.expr("'Z' || cast(c_nationkey as string)").alias("dest_ship_from_code"),
             F.col("l_quantity").alias("plan_gross_weight_qty"),
             F.expr("l_quantity - tax").alias("shipped_gross_weight_qty"),
@@ -447,8 +469,7 @@ class Views:
     def vehicles(self) -> DataFrame:
         return (
             self.table("part")
-            .where("p_type <> 'PROMO'")
-            .groupBy(F.col("p_type").alias("vehicle_trans_medium_code"))
+            .groupBy(F.expr(unmatched("p_type", "p_type <> 'PROMO'")).alias("vehicle_trans_medium_code"))
             .agg(
                 F.max("p_type").alias("vehicle_type_code"),
                 F.max(F.expr("cast(p_size * 20 as double)")).alias("total_weight_qty"),
@@ -519,12 +540,13 @@ class Views:
             F.expr("cast(qty as double)").alias("pallet_qty"),
             F.expr("cast(l_linenumber as double)").alias("theortc_pallet_qty"),
             F.expr("cast(disc * 2 as double)").alias("vehicle_fill_opportunity_qty"),
+            F.expr("'T' || cast(disc % 3 as string)").alias("tdcval_code"),
         )
 
     @cached_property
     def unit_costs(self) -> DataFrame:
-        return self.lines.where("l_returnflag <> 'N'").select(
-            F.expr("lpad(cast(l_orderkey + 100000000 as string), 10, '0')").alias("load_id"),
+        return self.lines.select(
+            F.expr(unmatched("lpad(cast(l_orderkey + 100000000 as string), 10, '0')", "l_returnflag <> 'N'")).alias("load_id"),
             F.expr("CASE WHEN p_size < 48 THEN p_brand END").alias("subsector_name"),
             F.col("p_brand").alias("gbu_code"),
             F.col("l_quantity").alias("su_per_load_qty"),
@@ -543,15 +565,18 @@ class Views:
             F.expr("CASE WHEN p_size = 3 THEN 'D' ELSE 'U' END").alias("other_chng_code"),
             F.expr("cast(p_size as string)").alias("length_val"),
             F.expr("cast(cast(p_retailprice as decimal(18,2)) as string)").alias("width_val"),
-            F.expr("CASE WHEN p_size = 7 THEN NULL ELSE p_brand END").alias("vol_qty"),
+            F.expr(
+                "CASE WHEN p_size = 7 THEN NULL WHEN p_size = 11 THEN '9007199254740993' WHEN p_size = 12 THEN '1d' "
+                "WHEN p_size = 13 THEN '1.50' ELSE p_brand END"
+            ).alias("vol_qty"),
             F.lit("KG").alias("weight_uom"),
         )
 
     @cached_property
     def master_right(self) -> DataFrame:
-        """The other copy: large items are missing, some brands and sizes differ."""
-        return self.table("part").where("p_size <= 46").select(
-            F.expr("cast(p_partkey as string)").alias("item_id"),
+        """The other copy: large items have other ids, some brands, numbers and sizes differ."""
+        return self.table("part").select(
+            F.expr(unmatched("cast(p_partkey as string)", "p_size <= 46")).alias("item_id"),
             F.lit("EA").alias("unit"),
             F.expr("'BOX-' || p_type").alias("box_name"),
             F.expr("CASE WHEN p_size = 5 THEN cast(p_size + 1 as string) ELSE cast(p_size as string) END").alias(
@@ -559,7 +584,8 @@ class Views:
             ),
             F.expr("' ' || cast(cast(p_retailprice as decimal(18,1)) as string)").alias("width_val"),
             F.expr(
-                "CASE WHEN p_size IN (7, 8) THEN NULL WHEN p_size = 9 THEN '' "
+                "CASE WHEN p_size IN (7, 8) THEN NULL WHEN p_size = 9 THEN '' WHEN p_size = 11 THEN '9007199254740992' "
+                "WHEN p_size = 12 THEN '1' WHEN p_size = 13 THEN '1.5' "
                 "WHEN p_brand = 'Brand#1' THEN 'Brand#2' ELSE p_brand END"
             ).alias("vol_qty"),
             F.expr("CASE WHEN p_type = 'SMALL' THEN 'LB' ELSE 'KG' END").alias("weight_uom"),

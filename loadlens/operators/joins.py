@@ -11,9 +11,9 @@ apart, both with the result of a plain join:
   stored table: ``lookup_join`` cuts a key above ``rows_per_slot`` rows into slots on the
   left and copies its few lookup rows once per slot.
 
-Nothing here is broadcast by hand but the list of hot keys, at most one key per
-``rows_per_slot`` rows; for lookups, Spark picks a broadcast join itself when the size it
-knows or has measured is under its threshold.
+Nothing is broadcast by hand but the lookups of ``small_lookup_join``, whose rows are counted
+first; for all else, Spark picks a broadcast join itself when the size it knows or has
+measured is under its threshold.
 """
 
 from __future__ import annotations
@@ -93,11 +93,9 @@ def lookup_join(
     hot_keys = [f"_hot_{k}" for k in keys]
     hot = counts.where(F.col("_rows") > rows_per_slot)
     hot = hot if null_safe else hot.dropna(subset=keys)
-    hot = F.broadcast(
-        hot.select(
-            *[F.col(k).alias(h) for k, h in zip(keys, hot_keys)],
-            F.ceil(F.col("_rows") / rows_per_slot).cast("int").alias("_slots"),
-        )
+    hot = hot.select(
+        *[F.col(k).alias(h) for k, h in zip(keys, hot_keys)],
+        F.ceil(F.col("_rows") / rows_per_slot).cast("int").alias("_slots"),
     )
     is_hot = _same(keys, hot_keys, null_safe)
     # The row's own values and its input partition pick the slot: a task that runs again
@@ -127,6 +125,20 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null
     return left.join(right, _same(keys, right_keys, True), how).drop(*right_keys)
 
 
+def small_lookup_join(
+    left: DataFrame, right: DataFrame, on: On, how: str = "left", *, most_rows: int = 100_000
+) -> DataFrame:
+    """Join with a lookup that is sent to every task: one pass over ``left``, no shuffle.
+
+    The lookup's rows are counted first, up to the limit; beyond it this raises, and
+    ``lookup_join`` is the join to use.
+    """
+    if right.limit(most_rows + 1).count() > most_rows:
+        raise ValueError(f"the lookup has more than {most_rows} rows; use lookup_join")
+    keys, right = _aligned(left, right, on)
+    return left.join(F.broadcast(right), keys, how)
+
+
 def enrich(left: DataFrame, right: DataFrame, on: On) -> DataFrame:
     """Left join with a lookup that has one row per key.
 

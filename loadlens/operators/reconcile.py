@@ -14,10 +14,19 @@ from loadlens.operators.joins import anti_join
 from loadlens.operators.reshape import unpivot_pairs
 
 
+# Text that decimal(38,18) holds without rounding.
+PLAIN_NUMBER = r"^[+-]?[0-9]{1,20}([.][0-9]{1,18})?$"
+
+
 def comparable(col: str, *, numeric: bool = False) -> Column:
-    """Text to compare: trimmed, NULL as ''; with ``numeric``, '1.50' equals '1.5'."""
+    """Text to compare: trimmed, NULL as ''; with ``numeric``, '1.50' equals '1.5'. Only plain decimal
+    numbers that fit exactly are compared by value; all else ('1d', 40 digits) is compared as text."""
     text = text_or_empty(col)
-    return F.coalesce(F.trim(F.col(col)).try_cast("double").cast("string"), text) if numeric else text
+    if not numeric:
+        return text
+    trimmed = F.trim(F.col(col))
+    value = trimmed.try_cast("decimal(38,18)").cast("string")
+    return F.when(trimmed.rlike(PLAIN_NUMBER), value).otherwise(text)
 
 
 def discrepancies(

@@ -3,16 +3,18 @@
 Picking the first rows of a key is a row_number filter, which Spark cuts down on the map
 side (WindowGroupLimit) before it shuffles; first and last values are plain aggregates.
 A rank for every row would pull a whole key into one task, so ``rank_rows`` ranks inside
-buckets of the key and adds the sizes of the buckets before.
+range partitions of the whole order and adds the rows of the key in the partitions before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadlens.sources.sinks import staged
+
 
 def newest(col: str) -> Column:
     """Latest first, NULL last."""
@@ -30,20 +32,21 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str] = ()) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str]) -> DataFrame:
     """The row with the newest ``by`` per key; ``ties`` make the choice unique."""
     return top_per_key(df, keys, [newest(by), *[oldest(t) for t in ties]])
 
 
-def earliest_per_key(df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str] = ()) -> DataFrame:
+def earliest_per_key(df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str]) -> DataFrame:
     """The row with the oldest ``by`` per key, a NULL counting as oldest."""
     return top_per_key(df, keys, [oldest(by), *[oldest(t) for t in ties]])
 
 
 def latest_two_stage(
-    df: DataFrame, fine: Sequence[str], coarse: Sequence[str], by: str, ties: Sequence[str] = ()
+    df: DataFrame, fine: Sequence[str], coarse: Sequence[str], by: str, ties: Sequence[str]
 ) -> DataFrame:
-    """Newest row per fine key, then the newest of those per coarse key.
+    """Newest row per fine key, then the newest of those per coarse key. ``ties`` must make the order
+    total.
 
     With one total order and the coarse key inside the fine key, the winner of the second
     step always wins the first one too, so one step gives the same rows.
@@ -64,14 +67,6 @@ def last_value(col: Column | str) -> Column:
     return F.max(F.col(col) if isinstance(col, str) else col)
 
 
-def first_per(df: DataFrame, keys: Sequence[str], by: str, out: str) -> DataFrame:
-    return df.groupBy(*keys).agg(first_value(by).alias(out))
-
-
-def last_per(df: DataFrame, keys: Sequence[str], by: str, out: str) -> DataFrame:
-    return df.groupBy(*keys).agg(last_value(by).alias(out))
-
-
 def arg_extreme(
     df: DataFrame,
     keys: Sequence[str],
@@ -92,28 +87,30 @@ def rank_rows(
     by: str,
     out: str,
     *,
-    bucket: Column,
     descending: bool = False,
-    ties: Sequence[str] = (),
+    ties: Sequence[str],
+    partitions: int | None = None,
+    keep: Callable[[DataFrame], DataFrame] = staged,
 ) -> DataFrame:
     """Row number of every row within its key, in a total order by ``by`` then ``ties``.
 
-    ``bucket`` rises with ``by`` (the day of an event time, say) and is NULL where ``by``
-    is. Ranks are taken per (key, bucket) and moved up by the rows of the buckets before,
-    so that a key with very many rows is spread over its buckets.
+    The rows are dealt into ranges of (keys, by, ties) and stored by ``keep``; the range is the bucket.
+    Since the ties belong to the order, a range is never larger than the others, whatever a key, a
+    time or a missing time holds. Ranks are taken per key and range and moved up by the key's rows in
+    the ranges before.
     """
     direction = newest if descending else oldest
-    cut = df.withColumn("_bucket", bucket)
+    order = [*[oldest(k) for k in keys], direction(by), *[oldest(t) for t in ties]]
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    cut = keep(ranged.withColumn("_bucket", F.spark_partition_id()))
     sizes = cut.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(direction("_bucket")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         *[F.col(k).alias(f"_o_{k}") for k in keys],
         F.col("_bucket").alias("_o_bucket"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
     )
-    same = F.col("_bucket").eqNullSafe(F.col("_o_bucket"))
+    same = F.col("_bucket") == F.col("_o_bucket")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(direction(by), *[oldest(t) for t in ties])
@@ -131,13 +128,14 @@ def conditional_rank(
     by: str,
     out: str,
     *,
-    bucket: Column,
-    ties: Sequence[str] = (),
+    ties: Sequence[str],
+    partitions: int | None = None,
+    keep: Callable[[DataFrame], DataFrame] = staged,
 ) -> DataFrame:
-    """Rank, newest first, among the rows with flag = 1; NULL for all other rows."""
-    flagged = df.withColumn("_flagged", F.coalesce(F.col(flag) == 1, F.lit(False)))
-    ranked = rank_rows(flagged, [*keys, "_flagged"], by, "_rank", bucket=bucket, descending=True, ties=ties)
-    return ranked.withColumn(out, F.when(F.col("_flagged"), F.col("_rank"))).drop("_flagged", "_rank")
+    """Rank, newest first, among the rows with flag = 1; NULL for all other rows, which are not ranked."""
+    flagged = F.coalesce(F.col(flag) == 1, F.lit(False))
+    ranked = rank_rows(df.where(flagged), keys, by, out, descending=True, ties=ties, partitions=partitions, keep=keep)
+    return ranked.unionByName(df.where(~flagged).withColumn(out, F.lit(None).cast("int")))
 
 
 def stop_count(df: DataFrame, keys: Sequence[str], stop: str, out: str = "multi_stop_num") -> DataFrame:

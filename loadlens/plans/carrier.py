@@ -22,13 +22,15 @@ def carrier_lane_detail(
     *,
     columns: Sequence[str],
     weeks: int = WEEKS,
-    iso_year: bool = False,
+    iso_year: bool = True,
     audit: bool = True,
 ) -> DataFrame:
     """Distinct lane rows of the newest weeks, with the week's parts and place (1 = newest).
 
     ``columns`` are the tender columns to keep, ``week_begin_date`` among them. The weeks
-    are cut before the duplicates are removed, so that only the kept weeks are shuffled.
+    are cut before the duplicates are removed, so that only the kept weeks are shuffled. The
+    week key has the ISO year, so that days around New Year rank with their week;
+    ``iso_year=False`` takes the calendar year.
     """
     keyed = tenders.withColumn(WEEK_KEY, week_key("week_begin_date", iso_year=iso_year))
     recent = newest_groups(keyed, WEEK_KEY, weeks, "drank_week_year")
@@ -55,7 +57,7 @@ def carrier_shipment_detail(
     columns: Sequence[str],
     lane_keys: Sequence[str],
     lane_sums: Sequence[str] = (),
-    iso_year: bool = False,
+    iso_year: bool = True,
     audit: bool = True,
 ) -> DataFrame:
     """Distinct tender rows of the reported weeks with their lane's week and location.

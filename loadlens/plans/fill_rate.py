@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from loadlens.operators.aggregates import distinct_sum, fine_coarse, two_level
 from loadlens.operators.columns import apply_exprs, cast_columns
 from loadlens.operators.joins import enrich, lookup_join
 from loadlens.operators.windows import latest_per_key
+from loadlens.sources.sinks import staged
 
 TRUCK_SUMS = ["pallet_num_qty", "pallet_spot_qty", "total_gross_weight_qty", "total_gross_vol_qty"]
 SHIPPED = {
@@ -94,6 +95,7 @@ def fill_rate_hub(
 
 GROSS = ["total_gross_weight_qty", "oblb_gross_weight_plan_qty", "total_gross_vol_qty", "oblb_gross_vol_plan_qty", "pallet_spot_qty"]
 MATERIAL_SUMS = ["load_material_weight_qty", "load_material_vol_qty", "gross_weight_qty", "gross_vol_qty", "cut_impact_rate"]
+MATERIAL_COLS = ["tdcval_code"]
 MATERIAL_MAXES = ["plan_net_weight_qty", "plan_net_vol_qty"]
 MATERIAL_KEYS = ["load_id", "load_gbu_id", "material_doc_num", "dlvry_item_num"]
 LOAD_SUMS = ["floor_position_qty", "pallet_qty", "theortc_pallet_qty"]
@@ -105,8 +107,13 @@ def fill_rate_load_agg(
     *,
     maxes: Mapping[str, str],
     sums: Sequence[str] = ("net_weight_qty", "net_vol_qty"),
-    material_cols: Sequence[str] = (),
+    gross: Sequence[str] = GROSS,
+    material_sums: Sequence[str] = MATERIAL_SUMS,
+    material_maxes: Sequence[str] = MATERIAL_MAXES,
+    load_sums: Sequence[str] = LOAD_SUMS,
+    material_cols: Sequence[str] = MATERIAL_COLS,
     exprs: Mapping[str, str] | None = None,
+    keep: Callable[[DataFrame], DataFrame] = staged,
 ) -> DataFrame:
     """One row per load and business unit.
 
@@ -114,7 +121,8 @@ def fill_rate_load_agg(
     rest comes from sub-aggregates: gross sums per load over distinct rows, material sums,
     distinct floor positions and pallets per load, and costs per load and unit. Rows
     without a business unit have no ``load_gbu_id`` and are left out by the inner joins.
-    ``material_cols`` are further columns that make a material row distinct.
+    ``material_cols`` are further columns that make a material row distinct. ``keep`` stores the
+    first-stage rows, which four aggregates read.
     """
     capped = apply_exprs(rows, X.chosen(X.FILL_CAPPED, exprs)).withColumns(
         {
@@ -122,14 +130,14 @@ def fill_rate_load_agg(
             "fiscal_year_perd_num": F.col("fiscal_year_perd_num").try_cast("int"),
         }
     )
-    first_stage = capped.where(F.col("min_trans_stage_flag") == "Y")
+    first_stage = keep(capped.where(F.col("min_trans_stage_flag") == "Y"))
 
-    gross = distinct_sum(first_stage, ["load_id"], GROSS)
-    materials = first_stage.select(*MATERIAL_KEYS, *material_cols, *MATERIAL_SUMS, *MATERIAL_MAXES).distinct()
+    gross_sums = distinct_sum(first_stage, ["load_id"], gross)
+    materials = first_stage.select(*MATERIAL_KEYS, *material_cols, *material_sums, *material_maxes).distinct()
     per_unit = fine_coarse(
-        materials, gross, ["load_id"], ["load_id", "load_gbu_id"], MATERIAL_SUMS, MATERIAL_MAXES
+        materials, gross_sums, ["load_id"], ["load_id", "load_gbu_id"], material_sums, material_maxes
     )
-    per_unit = apply_exprs(per_unit, X.chosen(X.FILL_AGG, exprs)).drop(*MATERIAL_MAXES)
+    per_unit = apply_exprs(per_unit, X.chosen(X.FILL_AGG, exprs)).drop(*material_maxes)
 
     cost = (
         apply_exprs(costs.withColumn("load_id", strip_zeros("load_id")), X.chosen(X.FILL_GBU, exprs))
@@ -144,7 +152,7 @@ def fill_rate_load_agg(
     main = first_stage.groupBy("load_id", "gbu_desc", "gbu_code", "load_gbu_id").agg(
         *[F.max(c).alias(out) for out, c in maxes.items()], *[F.sum(c).alias(c) for c in sums]
     )
-    for c in LOAD_SUMS:
-        main = main.join(distinct_sum(first_stage, ["load_id"], [c]), "load_id")
+    per_load = first_stage.groupBy("load_id").agg(*[F.sum_distinct(F.col(c)).alias(c) for c in load_sums])
+    main = main.join(per_load, "load_id")
     main = main.join(per_unit, ["load_id", "load_gbu_id"])
     return main.join(cost, ["load_id", "load_gbu_id"], "left")

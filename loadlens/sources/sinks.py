@@ -22,16 +22,21 @@ def overwrite_slice(df: DataFrame, path: str, slice_: Mapping[str, str]) -> None
     """Replace one partition of a partitioned Parquet target and leave the others alone.
 
     Every row must belong to the slice, else the write fails before anything changes. An
-    empty frame writes nothing; ``drop_partition`` empties a slice.
+    empty frame leaves an empty slice. Partition values are compared as text.
     """
     checked = df
     for c, v in slice_.items():
+        text = F.col(c).cast("string")
         checked = checked.withColumn(
             c,
-            F.when(F.col(c) == v, F.col(c)).otherwise(
-                F.raise_error(F.concat(F.lit(f"row outside the slice {c}={v}: "), F.coalesce(c, F.lit("NULL"))))
+            F.when(text == v, F.col(c)).otherwise(
+                F.raise_error(F.concat(F.lit(f"row outside the slice {c}={v}: "), F.coalesce(text, F.lit("NULL"))))
             ),
         )
+    if checked.isEmpty():
+        folder = "/".join(f"{c}={v}" for c, v in slice_.items())
+        df.limit(0).drop(*slice_).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
+        return
     (
         checked.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -41,11 +46,19 @@ def overwrite_slice(df: DataFrame, path: str, slice_: Mapping[str, str]) -> None
 
 
 def checkpoint_table(df: DataFrame, name: str, location: str) -> DataFrame:
-    """Write an intermediate as a Parquet table at a location and read it back."""
+    """Write an intermediate as a Parquet table at a location and read it back.
+
+    The rows are written to a new folder under a name of their own, and the table is
+    swapped after that: ``df`` may read the table it replaces, and a write that fails
+    leaves it as it was. The files of the table before stay for readers that still use
+    them; ``delete_folder`` removes them.
+    """
     spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
     table = name.split(".")[-1].upper()
-    df.write.mode("overwrite").format("parquet").option("path", f"{location}/{table}").saveAsTable(name)
+    fresh = f"{name}_{uuid4().hex[:8]}"
+    df.write.format("parquet").option("path", f"{location}/{table}-{uuid4().hex[:8]}").saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     return spark.table(name)
 
 
@@ -81,41 +94,51 @@ def _spec(spec: Mapping[str, str]) -> str:
     return ", ".join(f"{c} = '{v}'" for c, v in spec.items())
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in any store Spark can reach.
+
+    Spark has no public call for it, so this goes to the JVM's file system API and does
+    not work over Spark Connect.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_partition(
     spark: SparkSession, table: str, spec: Mapping[str, str], purge_path: str | None = None
 ) -> None:
-    """Drop one partition; with ``purge_path``, the files of an external table as well."""
+    """Drop one partition; with ``purge_path``, the files of an external table as well, by
+    ``delete_folder`` (not over Spark Connect)."""
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(spec)})")
     if purge_path:
-        folder = purge_path.rstrip("/") + "/" + "/".join(f"{c}={v}" for c, v in spec.items())
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        fs.delete(jvm_path, True)
+        delete_folder(spark, purge_path.rstrip("/") + "/" + "/".join(f"{c}={v}" for c, v in spec.items()))
 
 
-def staging_folder(spark: SparkSession) -> str:
-    """A new folder below the shared checkpoint folder that the cluster names.
+# Folders that ``staging_folder`` has given out.
+_staged: list[str] = []
 
-    Only where none is named, as in local tests, is a temporary one set.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        import tempfile
 
-        root = tempfile.mkdtemp(prefix="loadlens-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir()
-    return f"{root.rstrip('/')}/staged-{uuid4().hex}"
+def staging_folder(spark: SparkSession, root: str | None = None) -> str:
+    """A new folder below ``root``, the shared checkpoint folder that the cluster names, or the
+    session's warehouse folder, whichever is given first."""
+    root = root or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
+    _staged.append(f"{root.rstrip('/')}/staged-{uuid4().hex}")
+    return _staged[-1]
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, root: str | None = None) -> DataFrame:
     """Write an intermediate that several branches read, and read it back as a table.
 
     One run of the lineage instead of one per branch, column pruning for each reader, and
-    nothing to recompute when an executor is lost.
+    nothing to recompute when an executor is lost. ``clean_staged`` removes the files.
     """
-    folder = staging_folder(df.sparkSession)
+    folder = staging_folder(df.sparkSession, root)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def clean_staged(spark: SparkSession) -> None:
+    """Delete what ``staged`` has written in this process, once no result reads it any more."""
+    while _staged:
+        delete_folder(spark, _staged.pop())

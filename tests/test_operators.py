@@ -164,8 +164,10 @@ def test_keep_latest_and_earliest(spark):
     df = spark.createDataFrame(EVENTS, "k string, ts string, id string")
     assert rows_of(W.latest_per_key(df, ["k"], "ts", ["id"]).select("k", "id")) == [("a", "x2"), ("b", "y1"), (None, "z1")]
     assert rows_of(W.earliest_per_key(df, ["k"], "ts", ["id"]).select("k", "id")) == [("a", "x4"), ("b", "y1"), (None, "z1")]
-    assert rows_of(W.first_per(df, ["k"], "ts", "f")) == [("a", None), ("b", "1"), (None, "5")]
-    assert rows_of(W.last_per(df, ["k"], "ts", "l")) == [("a", "3"), ("b", "1"), (None, "5")]
+    ends = df.groupBy("k").agg(W.first_value("ts").alias("f"), W.last_value("ts").alias("l"))
+    assert rows_of(ends) == [("a", None, "3"), ("b", "1", "1"), (None, "5", "5")]
+    with pytest.raises(TypeError):
+        W.latest_per_key(df, ["k"], "ts")
     assert W.latest_per_key(df.limit(0), ["k"], "ts", ["id"]).count() == 0
 
 
@@ -174,7 +176,7 @@ def test_rank_rows_over_buckets(spark, descending):
     rng = random.Random(1)
     data = [(rng.choice(["a", "b", None]), rng.choice([None] + [f"{d:02d}{h:02d}" for d in range(5) for h in range(3)]), f"{i:04d}") for i in range(300)]
     df = spark.createDataFrame(data, "k string, ts string, id string")
-    out = W.rank_rows(df, ["k"], "ts", "r", bucket=F.substring("ts", 1, 2), descending=descending, ties=["id"])
+    out = W.rank_rows(df, ["k"], "ts", "r", descending=descending, ties=["id"])
     want = []
     for k in ("a", "b", None):
         rows = sorted((r for r in data if r[0] == k), key=lambda r: r[2])
@@ -184,8 +186,8 @@ def test_rank_rows_over_buckets(spark, descending):
 
 
 def test_conditional_rank_does_not_multiply_rows(spark):
-    df = spark.createDataFrame([("a", "1", 1), ("a", "1", 1), ("a", "2", 0), ("a", "2", None)], "k string, ts string, f int")
-    out = W.conditional_rank(df, "f", ["k"], "ts", "r", bucket=F.col("ts"))
+    df = spark.createDataFrame([("a", "1", 1, 1), ("a", "1", 1, 2), ("a", "2", 0, 3), ("a", "2", None, 4)], "k string, ts string, f int, i int")
+    out = W.conditional_rank(df, "f", ["k"], "ts", "r", ties=["i"])
     assert sorted(str(r["r"]) for r in out.collect()) == ["1", "2", "None", "None"]
 
 
@@ -200,13 +202,14 @@ def test_newest_groups_and_stops(spark):
 def test_two_stage_needs_nested_keys(spark):
     df = spark.createDataFrame([("a", "b", "1")], "x string, y string, t string")
     with pytest.raises(ValueError):
-        W.latest_two_stage(df, ["x"], ["y"], "t")
+        W.latest_two_stage(df, ["x"], ["y"], "t", ["t"])
 
 
 # --- columns to rows, comparison ----------------------------------------------------------------------------------
 def test_unpivot_measures(spark):
-    df = spark.createDataFrame([(1, 0.1, 4.0), (2, 0.6, 10.0)], "id int, col1 double, col2 double")
-    assert rows_of(S.unpivot_measures(df, ["id"])) == [(1, "col1", 0.1), (1, "col2", 4.0), (2, "col1", 0.6), (2, "col2", 10.0)]
+    df = spark.createDataFrame([("x", 7.5, None), ("y", None, 3.0)], "lane string, pallets double, tons double")
+    long = rows_of(S.unpivot_measures(df, ["lane"]))
+    assert long == sorted([("x", "pallets", 7.5), ("x", "tons", None), ("y", "pallets", None), ("y", "tons", 3.0)], key=str)
     with pytest.raises(ValueError, match="one type"):
         S.unpivot_measures(df.withColumn("s", F.lit("x")), ["id"])
 
@@ -220,3 +223,19 @@ def test_reconcile(spark):
     numeric = rows_of(Q.reconcile_tables(left, right, ["k"], ["a", "u"], numeric=True))
     assert numeric == text[1:]
     assert rows_of(Q.reconcile_tables(left, left, ["k"], ["a", "u"])) == []
+
+
+def test_numeric_comparison_is_exact(spark):
+    pairs = [("9007199254740993", "9007199254740992"), ("1d", "1"), ("1e2", "100"), ("+1.0", "1"), ("-0", "0"), ("1" * 30, "1" * 30 + ".0")]
+    left = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(pairs)], "k int, a string")
+    right = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(pairs)], "k int, a string")
+    found = Q.discrepancies(left, right, ["k"], ["a"], numeric=True)
+    assert sorted(r["k"] for r in found.collect()) == [0, 1, 2, 5]
+
+
+def test_small_lookups_are_counted_before_they_are_sent(spark):
+    rows, side = spark.range(100), spark.range(10).withColumn("v", F.lit("x"))
+    out = J.small_lookup_join(rows, side, "id", most_rows=10)
+    assert out.where("v = 'x'").count() == 10 and out.count() == 100
+    with pytest.raises(ValueError, match="more than 9 rows"):
+        J.small_lookup_join(rows, side, "id", most_rows=9)

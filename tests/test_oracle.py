@@ -5,10 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_point
+from catalog import registry
+from loadlens.sources.sinks import clean_staged
 from tests.compare import connect, differences
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -18,12 +20,11 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, sf_dir, con):
-    df = QUERIES[name](spark, sf_dir)
-    if name in ORACLES:
-        assert differences(df, con, ORACLES[name]) == []
-    else:
-        assert df.count() > 0
+    assert differences(QUERIES[name](spark, sf_dir), con, ORACLES[name]) == []
+    clean_staged(spark)
 
 
-def test_only_the_file_list_has_no_counterpart():
-    assert set(QUERIES) - set(ORACLES) == {"file_inventory"}
+def test_every_query_has_a_counterpart_and_is_registered():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql())

@@ -5,26 +5,64 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
+import __spark_entry__  # noqa: F401  (fills the registry)
+from catalog import plans, registry
 from loadlens.demo.views import Views
+from loadlens.operators import joins as J
 from loadlens.operators import windows as W
 from loadlens.plans.loading import load_out_rows
-
-WRITING = {"slice_overwrite"}
-STORED_HUB = {"on_time_hub", "loading_on_time", "customer_on_time", "interplant"}
+from loadlens.sources import sinks
 
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - WRITING - STORED_HUB))
-def test_no_query_pairs_all_rows(name, spark, sf_dir):
-    plan = plan_of(entry_point.queries()[name](spark, sf_dir))
+@pytest.fixture(scope="module")
+def stored(spark, sf_dir):
+    v = Views(spark, sf_dir, stored=True)
+    v.hub = sinks.staged(plans.hub_of(v))
+    yield v
+    sinks.clean_staged(spark)
+
+
+@pytest.mark.parametrize("name", sorted(registry.OVER_VIEWS))
+def test_no_query_pairs_all_rows(name, stored):
+    plan = plan_of(registry.OVER_VIEWS[name](stored))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize("name, most", [("weekly_scorecard", 7), ("fill_rate_load_agg", 8), ("fallback_lookup", 14)])
+def test_sources_are_read_once_or_from_a_stored_table(name, most, stored):
+    assert plan_of(registry.OVER_VIEWS[name](stored)).count("FileScan") <= most
+
+
+def test_a_hot_key_is_ranked_in_several_tasks(spark):
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.lit("999912").alias("ts"),
+        "id",
+    )
+    out = W.rank_rows(rows, ["k"], "ts", "r", ties=["id"], partitions=8).cache()
+    hot = out.where("k = 'hot'")
+    assert hot.agg(F.max("r"), F.countDistinct("r")).first() == (20_000, 20_000)
+    kept = []
+    W.rank_rows(rows, ["k"], "ts", "r", ties=["id"], partitions=8, keep=lambda df: kept.append(sinks.staged(df)) or kept[0])
+    assert kept[0].where("k = 'hot'").select("_bucket").distinct().count() >= 2
+    out.unpersist()
+
+
+def test_a_load_with_a_third_of_the_rows(spark):
+    """One hot left key gives the rows of a plain join, cut into slots or left to the planner."""
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("load_id"), "id")
+    side = spark.range(20_000).select(F.col("id").alias("load_id"), (F.col("id") * 2).alias("v"))
+    plain = rows.join(side, "load_id", "left").agg(F.count("v"), F.sum("v"), F.count("*")).first()
+    counts = J.key_counts(rows, ["load_id"])
+    cut = J.lookup_join(rows, side, "load_id", counts=counts, rows_per_slot=1_000)
+    assert cut.agg(F.count("v"), F.sum("v"), F.count("*")).first() == plain
+
+
 def test_newest_row_is_cut_before_the_shuffle(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_shipdate", "l_partkey")
     plan = plan_of(W.latest_per_key(rows, ["l_orderkey"], "l_shipdate", ["l_partkey"]))

@@ -31,6 +31,36 @@ def test_overwrite_slice_leaves_the_others(spark, tmp_path):
     with pytest.raises(Exception, match="outside the slice"):
         sinks.overwrite_slice(df, path, {"box": "n"})
     assert rows_of(spark.read.parquet(path).select("box", "v")) == [("n", 9), ("s", 2)]
+    sinks.overwrite_slice(df.limit(0), path, {"box": "n"})
+    assert rows_of(spark.read.parquet(path).select("box", "v")) == [("s", 2)]
+
+
+def test_overwrite_slice_of_a_number(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "m int, v string")
+    df.write.partitionBy("m").parquet(path)
+    sinks.overwrite_slice(df.where("m = 2").withColumn("v", F.lit("c")), path, {"m": "2"})
+    assert rows_of(spark.read.parquet(path).select("m", "v")) == [(1, "a"), (2, "c")]
+    with pytest.raises(Exception, match="outside the slice"):
+        sinks.overwrite_slice(df, path, {"m": "2"})
+
+
+def test_a_side_table_made_of_itself(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS self")
+    sinks.checkpoint_table(spark.range(3), "self.t", str(tmp_path))
+    doubled = sinks.checkpoint_table(spark.table("self.t").selectExpr("id * 2 AS id"), "self.t", str(tmp_path))
+    assert rows_of(doubled) == [(0,), (2,), (4,)]
+    with pytest.raises(Exception):
+        sinks.checkpoint_table(spark.table("self.t").selectExpr("raise_error('x') AS id"), "self.t", str(tmp_path))
+    assert spark.table("self.t").count() == 3
+
+
+def test_staged_folders_can_be_cleaned(spark, tmp_path):
+    folder = tmp_path / "given"
+    sinks.staged(spark.range(2), str(folder))
+    assert list(folder.iterdir())
+    sinks.clean_staged(spark)
+    assert not list(folder.iterdir())
 
 
 def test_side_tables_and_suffix_drop(spark, tmp_path):
@@ -83,8 +113,3 @@ def test_params_and_files(spark, sf_dir):
     files = tables.file_inventory(spark, sf_dir)
     assert files.where(F.col("path").endswith("lineitem.parquet") & F.col("dir").endswith(sf_dir)).count() == 1
 
-
-def test_spread_small(spark, sf_dir):
-    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    assert tables.spread_small(df).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    assert tables.spread_small(df).count() == df.count()
