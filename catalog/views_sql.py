@@ -4,7 +4,16 @@ from __future__ import annotations
 
 import re
 
-from loadlens.demo.views import EVENT_TIMES, unmatched
+from loadlens.demo.views import (
+    EVENT_TIMES,
+    FILL_SUMS,
+    MATERIAL_AMOUNTS,
+    TENDER_MEANS,
+    TENDER_SUMS,
+    TENDER_TEXTS,
+    customer_levels,
+    unmatched,
+)
 
 SHPMT = "lpad(cast(l_orderkey + 100000000 as varchar), 10, '0')"
 LOAD = f"substring({SHPMT}, -9, 9)"
@@ -73,6 +82,15 @@ SELECT {LINE_KEY} AS line_key, {SHPMT} AS shpmt_id, 'PO' || l_partkey AS order_n
   CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END AS tat_late_counter_val,
   cast(qty - 25 as varchar) AS load_builder_prty_val, p_brand AS gbu_code,
   strftime(o_orderdate, '%d/%m/%Y') AS order_create_date, strftime(o_orderdate, '%H:%M:%S') AS order_create_datetm,
+  CASE WHEN qty > 45 THEN 'OWN' END AS origin_zone_ship_from_code, CASE WHEN qty < 5 THEN 'OWN' END AS dest_ship_from_code,
+  cast(p_size % 3 as varchar) AS load_method_num, 'Cond ' || o_orderstatus AS ship_cond_desc,
+  strftime(event_ts, '%H:%M:%S') AS schedule_datetm, CASE WHEN tax > 0 THEN 'Y' ELSE 'N' END AS measrbl_flag,
+  strftime(event_ts, '%m') AS actual_ship_month_num, CASE WHEN tax > 4 THEN 'K' || tax END AS cause_code,
+  'SO' || dest_region AS sales_org_code, CASE WHEN tax = 1 THEN 1 ELSE 0 END AS lot_cust_failure_cnt,
+  CASE WHEN tax = 2 THEN 1 ELSE 0 END AS site_failure_cnt, CASE WHEN tax = 3 THEN 1 ELSE 0 END AS carr_failure_cnt,
+  CASE WHEN tax > 3 THEN 1 ELSE 0 END AS others_failure_cnt, disc AS tolrnc_sot_val,
+  strftime(event_ts, '%Y%m%d%H%M%S') AS first_tendered_rdd_from_datetm,
+  CASE WHEN qty > 2 THEN strftime(event_ts, '%Y%m%d%H%M%S') END AS first_tendered_rdd_to_datetm,
   CASE WHEN qty = 1 THEN 'NULL' ELSE strftime(event_ts, '%d/%m/%Y') END AS schedule_date,
   strftime(event_ts, '%d/%m/%Y') AS actual_ship_date, {week("event_ts")} AS ship_week_num,
   {_event_times()}
@@ -110,7 +128,7 @@ SELECT {O_SHPMT} AS shpmt_id, CASE WHEN o_orderstatus = 'P' THEN 'open'
 SELECT substring({O_SHPMT}, -9, 9) AS load_id, substring(o_orderpriority, 3) AS unload_method_val FROM orders""",
     "v_freight": f"""
 SELECT {O_SHPMT} AS shpmt_id, CASE WHEN o_totalprice > 250000 THEN 'YES' ELSE 'NO' END AS freight_auction_val,
-  cast(o_totalprice as decimal(18,2)) AS distance_per_load_qty FROM orders""",
+  CASE WHEN o_totalprice > 300000 THEN 'AUCTION' END AS auction_frt_type_desc, cast(o_totalprice as decimal(18,2)) AS distance_per_load_qty FROM orders""",
     "v_tenders": f"""
 SELECT {unmatched(SHPMT, "s_acctbal > 0")} AS load_id, cast(l_suppkey as integer) AS forward_agent_id, p_type AS service_tms_code,
   CASE WHEN p_size > 10 THEN l_quantity ELSE 0.0 END AS avg_award_weekly_vol_qty,
@@ -119,8 +137,7 @@ SELECT {unmatched(SHPMT, "s_acctbal > 0")} AS load_id, cast(l_suppkey as integer
   'Z' || c_nationkey AS dest_ship_from_code, dest_zone AS dest_zone_code,
   strftime(event_ts, '%Y%m%d%H%M%S') AS tender_event_datetm, cast(o_custkey as varchar) AS ship_to_party_id,
   CASE WHEN c_acctbal > 9000 THEN 'CVS' ELSE c_name END || '(' || c_mktsegment || ')' AS customer_desc,
-  CASE WHEN l_linenumber = 7 THEN 'Z ' || c_mktsegment ELSE c_mktsegment END AS customer_lvl3_desc,
-  CASE WHEN l_linenumber = 7 THEN '0' || o_custkey ELSE cast(o_custkey as varchar) END AS customer_lvl12_code,
+  {", ".join(f"{sql} AS {name}" for name, sql in customer_levels("varchar").items())},
   cast(l_shipdate as date) AS actual_goods_issue_date,
   lpad(cast(s_nationkey as varchar), 5, '0') AS final_stop_postal_code,
   'Z' || s_nationkey AS origin_zone_ship_from_code, {LINE_KEY} AS tender_key
@@ -147,7 +164,9 @@ SELECT cast(date_trunc('week', l_shipdate) as date) AS week_begin_date, cast(l_s
   'Z' || c_nationkey AS dest_ship_from_code, 'S' || s_nationkey AS region_code,
   count(CASE WHEN l_linestatus = 'F' THEN 1 END) AS accept_cnt,
   count(CASE WHEN l_linestatus = 'O' THEN 1 END) AS reject_cnt,
-  cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(28,2)) AS linehaul_cost_amt
+  cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(28,2)) AS linehaul_cost_amt,
+  {", ".join(f"max({sql}) AS {c}" for c, sql in TENDER_TEXTS.items())},
+  {", ".join(f"cast(sum({sql}) as bigint) AS {c}" for c, sql in {**TENDER_SUMS, **TENDER_MEANS}.items())}
 FROM v_lines GROUP BY ALL""",
     "v_weekly": f"""
 SELECT {week("l_shipdate")} AS ship_week_num, cast(l_suppkey as varchar) AS carr_num, p_type AS service_tms_code,
@@ -171,7 +190,7 @@ SELECT cast(l_suppkey as varchar) AS carr_num, 'Z' || c_nationkey AS dest_ship_f
     "v_fill_loads": f"""
 SELECT lpad(cast(l_suppkey as varchar), 10, '0') AS carr_id, strftime(l_shipdate, '%d/%m/%Y') AS shpmt_start_date,
   p_type AS tms_service_code, {unmatched("'P' || l_suppkey", "l_returnflag <> 'A'")} AS ship_point_code, 'Z' || c_nationkey AS dest_ship_from_code,
-  l_quantity AS plan_gross_weight_qty, l_quantity - tax AS shipped_gross_weight_qty,
+  {", ".join(f"{sql} AS {c}" for c, sql in FILL_SUMS.items())},
   cast(p_size as double) AS floor_position_qty, cast(disc as double) AS net_vol_fill_rate
 FROM v_lines""",
     "v_truck_reports": """
@@ -212,7 +231,8 @@ SELECT {LOAD} AS load_id, p_brand AS gbu_code, CASE WHEN p_size < 48 THEN upper(
   CASE WHEN tax > 4 THEN l_quantity + 1 END AS total_gross_vol_qty, cast(tax as double) AS pallet_spot_qty,
   cast(disc as double) AS cut_impact_rate, cast(p_size as double) AS floor_position_qty,
   cast(qty as double) AS pallet_qty, cast(l_linenumber as double) AS theortc_pallet_qty,
-  cast(disc * 2 as double) AS vehicle_fill_opportunity_qty, 'T' || cast(disc % 3 as varchar) AS tdcval_code FROM v_lines""",
+  cast(disc * 2 as double) AS vehicle_fill_opportunity_qty, 'T' || cast(disc % 3 as varchar) AS tdcval_code,
+  {", ".join(f"{sql} AS {c}" for c, sql in MATERIAL_AMOUNTS.items())} FROM v_lines""",
     "v_unit_costs": f"""
 SELECT {unmatched(SHPMT, "l_returnflag <> 'N'")} AS load_id, CASE WHEN p_size < 48 THEN p_brand END AS subsector_name, p_brand AS gbu_code,
   l_quantity AS su_per_load_qty, cast(l_extendedprice as decimal(18,2)) AS total_cost_amt,

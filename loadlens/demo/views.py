@@ -53,6 +53,81 @@ def _dec(col: str) -> Column:
     return F.col(col).cast("decimal(18,2)")
 
 
+# Tender columns that are carried along: name and SQL that both engines read, over the line items.
+TENDER_TEXTS = {
+    "campus_lane_name": "origin_zone || ' - ' || dest_zone",
+    "customer_specific_lane_name": "origin_zone || ' - ' || c_name",
+    "sold_to_party_id": "'S' || c_name",
+    "ship_cond_val": "p_brand",
+    "country_from_code": "substring(origin_zone, 1, 2)",
+    "country_to_code": "substring(dest_zone, 1, 2)",
+    "freight_auction_flag": "CASE WHEN p_size > 25 THEN 'Y' ELSE 'N' END",
+    "primary_carr_flag": "CASE WHEN p_size > 10 THEN 'Y' ELSE 'N' END",
+    "month_type_val": "CASE WHEN l_linenumber > 3 THEN 'P' ELSE 'C' END",
+    "dest_postal_code": "'D' || dest_zone",
+    "customer_desc": "c_name",
+    "customer_code": "'C' || c_name",
+    "customer_lvl3_desc": "c_mktsegment",
+    "customer_lvl5_desc": "'Level 5 ' || c_mktsegment",
+    "customer_lvl6_desc": "'Level 6 ' || c_mktsegment",
+    "customer_lvl12_desc": "'Level 12 ' || c_mktsegment",
+}
+# Tender amounts in whole units, summed; and figures that the scorecard averages.
+TENDER_SUMS = {
+    "total_cnt": "1",
+    "actual_carr_trans_cost_amt": "qty * 11",
+    "incrmtl_freight_auction_cost_amt": "qty * 2",
+    "cnc_carr_mix_cost_amt": "qty * 3",
+    "unsource_cost_amt": "tax",
+    "fuel_cost_amt": "qty * 4",
+    "acsrl_cost_amt": "disc",
+}
+TENDER_MEANS = {
+    "accept_pct": "CASE WHEN l_linestatus = 'F' THEN 100 ELSE 0 END",
+    "reject_pct": "CASE WHEN l_linestatus = 'F' THEN 0 ELSE 100 END",
+    "expct_vol_val": "qty",
+    "reject_below_award_val": "tax",
+    "weekly_carr_rate": "p_size",
+    "avg_award_weekly_vol_qty": "CASE WHEN p_size > 10 THEN qty ELSE 0 END",
+}
+# Quantities of the fill-rate rows that the scorecard sums.
+FILL_SUMS = {
+    "plan_gross_weight_qty": "l_quantity",
+    "plan_net_weight_qty": "l_quantity - 1",
+    "shipped_gross_weight_qty": "l_quantity - tax",
+    "shipped_net_weight_qty": "l_quantity - disc",
+    "plan_gross_vol_qty": "l_quantity * 2",
+    "plan_net_vol_qty": "l_quantity * 3",
+    "shipped_gross_vol_qty": "l_quantity * 4",
+    "shipped_net_vol_qty": "l_quantity * 5",
+    "su_per_load_cnt": "l_quantity * 6",
+}
+# Material amounts of the fill-rate load aggregate.
+MATERIAL_AMOUNTS = {
+    "drf_last_truck_amt": "cast(tax * 3 as double)",
+    "glb_segment_impact_cat_ld_amt": "cast(disc * 5 as double)",
+    "hopade_amt": "cast(tax + disc as double)",
+    "max_orders_non_drp_amt": "cast(p_size + tax as double)",
+    "max_orders_incrmtl_amt": "cast(p_size + disc as double)",
+}
+
+
+def customer_levels(text: str) -> dict[str, str]:
+    """SQL for the twelve levels of a customer's hierarchy, for an engine whose text type is ``text``.
+    The seventh line of an order tells another hierarchy than the others."""
+    levels = {}
+    for i in range(1, 13):
+        levels[f"customer_lvl{i}_code"] = f"'L{i}-' || cast(c_nationkey as {text})"
+        levels[f"customer_lvl{i}_desc"] = f"'Level {i} ' || c_mktsegment"
+    levels["customer_lvl3_desc"] = "CASE WHEN l_linenumber = 7 THEN 'Z ' || c_mktsegment ELSE c_mktsegment END"
+    key = f"cast(o_custkey as {text})"
+    levels["customer_lvl12_code"] = f"CASE WHEN l_linenumber = 7 THEN '0' || {key} ELSE {key} END"
+    levels["customer_lvl12_desc"] = (
+        "CASE WHEN c_acctbal < 0 THEN NULL ELSE CASE WHEN c_acctbal > 9000 THEN 'CVS' ELSE c_name END || '(' || c_mktsegment || ')' END"
+    )
+    return levels
+
+
 class Views:
     """Lazy frames over one data folder.
 
@@ -169,6 +244,22 @@ class Views:
             "gbu_code": "p_brand",
             "order_create_date": _day_text("o_orderdate"),
             "order_create_datetm": "lpad(cast(hour(o_orderdate) as string), 2, '0') || ':00:00'",
+            "origin_zone_ship_from_code": "CASE WHEN qty > 45 THEN 'OWN' END",
+            "dest_ship_from_code": "CASE WHEN qty < 5 THEN 'OWN' END",
+            "load_method_num": "cast(p_size % 3 as string)",
+            "ship_cond_desc": "'Cond ' || o_orderstatus",
+            "schedule_datetm": "event_hour || ':00:00'",
+            "measrbl_flag": "CASE WHEN tax > 0 THEN 'Y' ELSE 'N' END",
+            "actual_ship_month_num": "lpad(cast(month(event_day) as string), 2, '0')",
+            "cause_code": "CASE WHEN tax > 4 THEN 'K' || cast(tax as string) END",
+            "sales_org_code": "'SO' || cast(dest_region as string)",
+            "lot_cust_failure_cnt": "CASE WHEN tax = 1 THEN 1 ELSE 0 END",
+            "site_failure_cnt": "CASE WHEN tax = 2 THEN 1 ELSE 0 END",
+            "carr_failure_cnt": "CASE WHEN tax = 3 THEN 1 ELSE 0 END",
+            "others_failure_cnt": "CASE WHEN tax > 3 THEN 1 ELSE 0 END",
+            "tolrnc_sot_val": "disc",
+            "first_tendered_rdd_from_datetm": "event_stamp",
+            "first_tendered_rdd_to_datetm": "CASE WHEN qty > 2 THEN event_stamp END",
             "schedule_date": f"CASE WHEN qty = 1 THEN 'NULL' ELSE {_day_text('event_day')} END",
             "actual_ship_date": _day_text("event_day"),
             "ship_week_num": (
@@ -282,6 +373,7 @@ class Views:
         return self.table("orders").select(
             F.expr("lpad(cast(o_orderkey + 100000000 as string), 10, '0')").alias("shpmt_id"),
             F.expr("CASE WHEN o_totalprice > 250000 THEN 'YES' ELSE 'NO' END").alias("freight_auction_val"),
+            F.expr("CASE WHEN o_totalprice > 300000 THEN 'AUCTION' END").alias("auction_frt_type_desc"),
             F.expr("cast(o_totalprice as decimal(18,2))").alias("distance_per_load_qty"),
         )
 
@@ -303,10 +395,7 @@ class Views:
             F.expr("CASE WHEN c_acctbal > 9000 THEN 'CVS' ELSE c_name END || '(' || c_mktsegment || ')'").alias(
                 "customer_desc"
             ),
-            F.expr("CASE WHEN l_linenumber = 7 THEN 'Z ' || c_mktsegment ELSE c_mktsegment END").alias("customer_lvl3_desc"),
-            F.expr("CASE WHEN l_linenumber = 7 THEN '0' || cast(o_custkey as string) ELSE cast(o_custkey as string) END").alias(
-                "customer_lvl12_code"
-            ),
+            *[F.expr(sql).alias(name) for name, sql in customer_levels("string").items()],
             F.expr("cast(l_shipdate as date)").alias("actual_goods_issue_date"),
             F.expr("lpad(cast(s_nationkey as string), 5, '0')").alias("final_stop_postal_code"),
             F.expr("'Z' || cast(s_nationkey as string)").alias("origin_zone_ship_from_code"),
@@ -371,12 +460,15 @@ class Views:
             F.expr("'S' || cast(s_nationkey as string)").alias("region_code"),
             "l_linestatus",
             "l_extendedprice",
+            *[F.expr(sql).alias(f"_{c}") for c, sql in {**TENDER_TEXTS, **TENDER_SUMS, **TENDER_MEANS}.items()],
         )
-        keys = [c for c in rows.columns if c not in ("l_linestatus", "l_extendedprice")]
+        keys = [c for c in rows.columns if c[0] != "_" and c not in ("l_linestatus", "l_extendedprice")]
         return rows.groupBy(*keys).agg(
             F.expr("count(CASE WHEN l_linestatus = 'F' THEN 1 END)").alias("accept_cnt"),
             F.expr("count(CASE WHEN l_linestatus = 'O' THEN 1 END)").alias("reject_cnt"),
             F.expr("sum(cast(l_extendedprice as decimal(18,2)))").cast("decimal(28,2)").alias("linehaul_cost_amt"),
+            *[F.max(f"_{c}").alias(c) for c in TENDER_TEXTS],
+            *[F.sum(f"_{c}").alias(c) for c in [*TENDER_SUMS, *TENDER_MEANS]],
         )
 
     @cached_property
@@ -443,8 +535,7 @@ class Views:
             F.col("p_type").alias("tms_service_code"),
             F.expr(unmatched("'P' || cast(l_suppkey as string)", "l_returnflag <> 'A'")).alias("ship_point_code"),
             F.expr("'Z' || cast(c_nationkey as string)").alias("dest_ship_from_code"),
-            F.col("l_quantity").alias("plan_gross_weight_qty"),
-            F.expr("l_quantity - tax").alias("shipped_gross_weight_qty"),
+            *[F.expr(sql).alias(c) for c, sql in FILL_SUMS.items()],
             F.expr("cast(p_size as double)").alias("floor_position_qty"),
             F.expr("cast(disc as double)").alias("net_vol_fill_rate"),
         )
@@ -541,6 +632,7 @@ class Views:
             F.expr("cast(l_linenumber as double)").alias("theortc_pallet_qty"),
             F.expr("cast(disc * 2 as double)").alias("vehicle_fill_opportunity_qty"),
             F.expr("'T' || cast(disc % 3 as string)").alias("tdcval_code"),
+            *[F.expr(sql).alias(c) for c, sql in MATERIAL_AMOUNTS.items()],
         )
 
     @cached_property

@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadlens.functions.dates import audit_ts, calendar_year, iso_week, week_key
 from loadlens.functions.keys import left_pad, strip_one_zero
+from loadlens.operators.columns import conform
 from loadlens.operators.joins import lookup_join
 from loadlens.operators.windows import newest_groups
 
@@ -23,6 +25,7 @@ def carrier_lane_detail(
     columns: Sequence[str],
     weeks: int = WEEKS,
     iso_year: bool = True,
+    schema: T.StructType | None = None,
     audit: bool = True,
 ) -> DataFrame:
     """Distinct lane rows of the newest weeks, with the week's parts and place (1 = newest).
@@ -46,6 +49,7 @@ def carrier_lane_detail(
             }
         )
     )
+    lanes = conform(lanes, schema) if schema else lanes
     return lanes.withColumn("last_update_utc_tmstp", audit_ts()) if audit else lanes
 
 
@@ -58,6 +62,7 @@ def carrier_shipment_detail(
     lane_keys: Sequence[str],
     lane_sums: Sequence[str] = (),
     iso_year: bool = True,
+    schema: T.StructType | None = None,
     audit: bool = True,
 ) -> DataFrame:
     """Distinct tender rows of the reported weeks with their lane's week and location.
@@ -87,4 +92,5 @@ def carrier_shipment_detail(
     )
     joined = lookup_join(rows, lane_weeks, [WEEK_KEY, *lane_keys], "inner")
     joined = lookup_join(joined, states, "final_stop_postal_code")
+    joined = conform(joined, schema) if schema else joined
     return joined.withColumn("last_update_utc_tmstp", audit_ts()) if audit else joined

@@ -6,11 +6,12 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadlens.functions import expressions as X
 from loadlens.functions.keys import last_chars, strip_zeros
 from loadlens.operators.aggregates import distinct_sum, fine_coarse, two_level
-from loadlens.operators.columns import apply_exprs, cast_columns
+from loadlens.operators.columns import apply_exprs, cast_columns, conform
 from loadlens.operators.joins import enrich, lookup_join
 from loadlens.operators.windows import latest_per_key
 from loadlens.sources.sinks import staged
@@ -74,6 +75,7 @@ def fill_rate_hub(
     *,
     link_ties: Sequence[str],
     truck_cols: Sequence[str] = (),
+    schema: T.StructType | None = None,
     exprs: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One row per order and transport that has a truck report and a known vehicle, with the
@@ -90,11 +92,15 @@ def fill_rate_hub(
         shipped.groupBy("load_id").agg(F.max("gi_month_num").alias("gi_month_num")), "load_id"
     )
     per_load = enrich(per_load, builder_priority(hub, exprs), "load_id")
-    return lookup_join(planned, per_load, "load_id")
+    out = lookup_join(planned, per_load, "load_id")
+    return conform(out, schema) if schema else out
 
 
 GROSS = ["total_gross_weight_qty", "oblb_gross_weight_plan_qty", "total_gross_vol_qty", "oblb_gross_vol_plan_qty", "pallet_spot_qty"]
-MATERIAL_SUMS = ["load_material_weight_qty", "load_material_vol_qty", "gross_weight_qty", "gross_vol_qty", "cut_impact_rate"]
+MATERIAL_SUMS = [
+    "load_material_weight_qty", "load_material_vol_qty", "gross_weight_qty", "gross_vol_qty", "cut_impact_rate",
+    "drf_last_truck_amt", "glb_segment_impact_cat_ld_amt", "hopade_amt", "max_orders_non_drp_amt", "max_orders_incrmtl_amt",
+]
 MATERIAL_COLS = ["tdcval_code"]
 MATERIAL_MAXES = ["plan_net_weight_qty", "plan_net_vol_qty"]
 MATERIAL_KEYS = ["load_id", "load_gbu_id", "material_doc_num", "dlvry_item_num"]
@@ -112,6 +118,7 @@ def fill_rate_load_agg(
     material_maxes: Sequence[str] = MATERIAL_MAXES,
     load_sums: Sequence[str] = LOAD_SUMS,
     material_cols: Sequence[str] = MATERIAL_COLS,
+    schema: T.StructType | None = None,
     exprs: Mapping[str, str] | None = None,
     keep: Callable[[DataFrame], DataFrame] = staged,
 ) -> DataFrame:
@@ -155,4 +162,5 @@ def fill_rate_load_agg(
     per_load = first_stage.groupBy("load_id").agg(*[F.sum_distinct(F.col(c)).alias(c) for c in load_sums])
     main = main.join(per_load, "load_id")
     main = main.join(per_unit, ["load_id", "load_gbu_id"])
-    return main.join(cost, ["load_id", "load_gbu_id"], "left")
+    out = main.join(cost, ["load_id", "load_gbu_id"], "left")
+    return conform(out, schema) if schema else out

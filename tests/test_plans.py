@@ -10,6 +10,7 @@ from catalog import plans, registry
 from loadlens.demo.views import Views
 from loadlens.operators import joins as J
 from loadlens.operators import windows as W
+from loadlens.plans import schemas
 from loadlens.plans.loading import load_out_rows
 from loadlens.sources import sinks
 
@@ -38,6 +39,25 @@ def test_sources_are_read_once_or_from_a_stored_table(name, most, stored):
     assert plan_of(registry.OVER_VIEWS[name](stored)).count("FileScan") <= most
 
 
+@pytest.mark.parametrize(
+    "name, schema",
+    [
+        ("on_time_hub", schemas.ON_TIME_HUB),
+        ("loading_on_time", schemas.LOADING_ON_TIME),
+        ("customer_on_time", schemas.CUSTOMER_ON_TIME),
+        ("interplant", schemas.CUSTOMER_ON_TIME),
+        ("carrier_lane_detail", schemas.CARRIER_LANE_DETAIL),
+        ("carrier_shipment_detail", schemas.CARRIER_SHIPMENT_DETAIL),
+        ("weekly_scorecard", schemas.WEEKLY_SCORECARD),
+        ("fill_rate_hub", schemas.FILL_RATE_HUB),
+        ("fill_rate_load_agg", schemas.FILL_RATE_LOAD_AGG),
+    ],
+)
+def test_the_checked_columns_are_those_of_the_target(name, schema, stored):
+    """The query that is held against DuckDB has every column of the product."""
+    assert registry.OVER_VIEWS[name](stored).columns == schema.names
+
+
 def test_a_hot_key_is_ranked_in_several_tasks(spark):
     rows = spark.range(60_000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
