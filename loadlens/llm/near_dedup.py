@@ -14,7 +14,8 @@ differ: (1 - s**4)**32, 5e-8 at the threshold of 0.8 and less above it.
 
 Defined results: words end at ASCII white space, A-Z are lower-cased. A text with fewer words than a
 shingle is one shingle; one without words, or NULL, has none and is linked with nothing. Repeated
-rows share their class; rows that share an id must share their text. No rows give no rows.
+rows share their class; rows that share an id must share their text. A row without an id joins the
+class of its set, if a row with an id has it, and is linked with nothing else. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -89,15 +90,18 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), lists], ["node", "shingles"])
 
     texts = _rows(docs, id_col, text_col)
-    some = texts.join(wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    return some.mapInArrow(run, "node bigint, shingles array<bigint>").dropDuplicates(["node"])
+    # both sides grow with the corpus: a merge join at every size; its partitioning serves the
+    # choice of one among repeated rows as well
+    some = texts.join(wanted.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    return some.dropDuplicates(["doc_id"]).mapInArrow(run, "node bigint, shingles array<bigint>")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are alike. Each pair fetches its two sets by ordinary joins."""
+    """The pairs (a, b) whose full sets are alike. Each pair fetches its two sets by merge joins, which
+    cut a node with many pairs into parts."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    both = pairs.select("a", "b").hint("merge").join(left, "a").join(right.hint("merge"), "b")
     both = both.withColumn("same", F.size(F.array_intersect("x", "y")))
     return both.where(100 * F.col("same") >= percent * (F.size("x") + F.size("y") - F.col("same"))).select("a", "b")
 
@@ -148,7 +152,7 @@ def near_dedup(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, id
     """(doc_id, n_shingles, component_id, kept): documents linked directly or through others share
     the least id among them, and the document of that id is kept."""
     rows = stage(sketched(docs, words, id_col, text_col), "sketched")
-    classes = rows.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min(F.struct("doc_id", "bands")).alias("one"))
+    classes = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n_shingles").agg(F.min(F.struct("doc_id", "bands")).alias("one"))
     classes = stage(classes.select("d1", "d2", "n_shingles", F.col("one.doc_id").alias("node"), "one.bands"), "classes")
     banded = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     leaders = banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("one"), F.count("*").alias("m")).where("m > 1")
@@ -168,10 +172,13 @@ def near_dedup(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, id
     )
     out = rows.select("doc_id", "n_shingles", "d1", "d2").join(final, ["d1", "d2", "n_shingles"], "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns."""
+    """The documents that stay, with all their columns. Rows without an id cannot be told apart and
+    all stay, since one of them may be linked with nothing."""
     kept = near_dedup(docs, words, percent, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"))
-    return docs.join(kept, docs[id_col].cast("bigint") == kept["__id"], "left_semi")
+    named = docs.where(F.col(id_col).isNotNull())
+    named = named.join(kept, named[id_col].cast("bigint") == kept["__id"], "left_semi")
+    return named.unionByName(docs.where(F.col(id_col).isNull()))
