@@ -8,7 +8,7 @@ every join is read without a shuffle, however large it has grown.
 Defined results: NULL text counts as empty, and empty texts are equal. Of equal texts of one batch
 the row with the largest id stays; a text that the index has already keeps the row it has there.
 Rows with the same id and text count each, and all of them are marked kept if they hold the keep
-id. An empty batch returns no rows and leaves the index as it is. Only the two named columns are
+id. A row without an id stays only if its group has no id at all. An empty batch returns no rows and leaves the index as it is. Only the two named columns are
 read, so any further columns may have any names.
 """
 
@@ -87,7 +87,7 @@ def add_batch(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str
         "doc_id",
         "keep_id",
         "group_size",
-        (F.col("doc_id") == F.col("keep_id")).alias("kept"),
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )
 
@@ -106,5 +106,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
     digest = F.sha2(F.coalesce(docs[text_col], F.lit("")).cast("binary"), 256)
     return docs.join(
-        kept, (docs[id_col].cast("bigint") == kept["__id"]) & (digest == kept["__digest"]), "left_semi"
+        kept, docs[id_col].cast("bigint").eqNullSafe(kept["__id"]) & (digest == kept["__digest"]), "left_semi"
     )
