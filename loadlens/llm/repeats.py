@@ -43,6 +43,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def gram_hashes(units: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` units (a power of 2) from each place on, by doubling; those that reach past
+    the end of the array are of no use. Grams that are long for the window are rarely shared by
+    chance, so fewer anchors need their texts compared."""
+    out, size = mix(units), 1
+    while size < gram:
+        out[:-size] = mix(out[:-size] + mix(out[size:] + np.uint64(size)))
+        size *= 2
+    return out
+
+
 class _Powers:
     """Powers of an odd number and of its inverse, modulo 2**64, as far as asked for."""
 
@@ -129,8 +140,9 @@ def classify(segments: DataFrame, earlier: bool) -> Classified:
     totals = segments.groupBy("anchor").agg(
         F.count("*").alias("n"), F.min("cls").alias("low"), F.max("cls").alias("high"), F.min("doc_id").alias("first")
     )
-    # of the documents of one anchor, only another one can be earlier
-    many = totals.where("n > 1")
+    # stored, so that both sides of the join are plain exchanges and an anchor that very many
+    # segments share is cut into parts
+    many = stage(totals.where("n > 1"), "anchors").hint("merge")
     rows = stage(segments.join(many, "anchor"), "repeated")
     single, several = rows.where("low = high"), rows.where("low < high").drop("n", "first", "low", "high")
     of_doc = several.groupBy("anchor", "cls", "doc_id").agg(
@@ -142,7 +154,7 @@ def classify(segments: DataFrame, earlier: bool) -> Classified:
     classes = stage(classes.select("anchor", "cls", "n", "one.*"), "classes")
     span = [(F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("stop")]
     known = classes.select("anchor", "cls", F.col("doc_id").alias("first"), "n")
-    joined = several.join(known.where("n > 1"), ["anchor", "cls"])
+    joined = several.join(known.where("n > 1").hint("merge"), ["anchor", "cls"])
     if earlier:
         single, joined = single.where("doc_id > first"), joined.where("doc_id > first")
     whole = single.select("doc_id", *span).unionByName(joined.select("doc_id", *span))
@@ -156,7 +168,7 @@ def contexts(classes: DataFrame, docs: DataFrame, cut: Callable[[bytes, np.ndarr
     )
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     # an id stands for one text: of repeated rows one is read
-    joined = texts.join(wanted, "doc_id")
+    joined = texts.join(wanted.hint("merge"), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -10,7 +10,8 @@ is only ever met by the texts that can match it, and only while its task runs.
 
 Defined results: NULL text has no words; texts under ``length`` words lose nothing. The first
 document of each window keeps it, also where it repeats it itself. Repeated rows keep theirs, since
-none has a smaller id. Rows that share an id must share their text. No rows give no rows.
+none has a smaller id. Rows that share an id must share their text. Rows without an id
+keep their text and count for no other row. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -25,11 +26,11 @@ from pyspark.sql import functions as F
 
 from loadlens.llm import repeats
 from loadlens.llm.staging import stage
-from loadlens.llm.suffix_dedup import _rows, _texts
+from loadlens.llm.suffix_dedup import _power, _rows, _texts
 
 LENGTH = 50
-#: Words of a gram.
-GRAM = 2
+#: Words of a gram, or about a quarter of ``length`` if that is less.
+GRAM = 8
 
 
 class Words(dict):
@@ -46,7 +47,7 @@ class Words(dict):
 
 
 def segments(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    gram = GRAM
+    gram = _power(min(GRAM, length // 4), 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Words()
@@ -57,12 +58,11 @@ def segments(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text
                 words = [x.split() for x in texts]
                 lengths = np.array([len(x) for x in words], np.int64)
                 own = hashes.of([x for some in words for x in some])
-                grams = repeats.mix(own)
-                for k in range(1, gram):  # past the end of a text a gram is in no window
-                    grams[:-k] = repeats.mix(grams[:-k] + repeats.mix(own[k:] + np.uint64(k)))
-                yield repeats.segment_batch(ids[first:stop], repeats.runs(grams, own, lengths, length, gram))
+                # a gram that reaches past the end of a text is in no window
+                found = repeats.runs(repeats.gram_hashes(own, gram), own, lengths, length, gram)
+                yield repeats.segment_batch(ids[first:stop], found)
 
-    return _rows(docs, id_col, text_col).mapInArrow(run, repeats.SEGMENT)
+    return _rows(docs, id_col, text_col).where("doc_id IS NOT NULL").mapInArrow(run, repeats.SEGMENT)
 
 
 def _cut(text: bytes, starts: np.ndarray, stops: np.ndarray) -> list[bytes]:
@@ -156,7 +156,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text
 def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, spans, kept): the removed spans, in words, and the kept words joined by a space."""
     spans = stage(repeated(docs, length, id_col, text_col), "spans")
-    joined = _rows(docs, id_col, text_col).join(spans, "doc_id", "left")
+    joined = _rows(docs, id_col, text_col).join(spans.hint("merge"), "doc_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

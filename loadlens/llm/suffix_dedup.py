@@ -9,7 +9,8 @@ prefix of ``length`` bytes tell the repeated parts.
 
 Defined results: NULL text counts as empty; texts under ``length`` bytes lose nothing unless they
 repeat it, which they cannot. Of repeated strings no copy stays. Repeated rows repeat each other.
-Rows are told apart by id; rows that share an id must share their text. No rows give no rows.
+Rows are told apart by id; rows that share an id must share their text. Rows without an id
+keep their text and count for no other row. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -26,15 +27,26 @@ from loadlens.llm.staging import stage
 from loadlens.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH = 400
-#: Bytes of a gram; any text of ``LENGTH`` bytes has one.
-GRAM = 16
+#: Bytes of a gram, or about a quarter of ``length`` if that is less.
+GRAM = 64
 _TABLE = repeats.mix(np.arange(1, 257, dtype=np.uint64))
 
 
-def _grams(raw: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the 16 bytes from each place on; ``raw`` has 16 bytes more than ``n``."""
-    words = np.ndarray((n + 8,), "<u8", raw, strides=(1,))
-    return repeats.mix(repeats.mix(words[:n].copy()) + words[8 : n + 8])
+def _grams(raw: np.ndarray, n: int, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` bytes from each place on; ``raw`` has ``gram`` bytes more than ``n``."""
+    out, size = repeats.mix(np.ndarray((n + gram - 8,), "<u8", raw, strides=(1,)).copy()), 8
+    while size < gram:
+        out[:-size] = repeats.mix(out[:-size] + repeats.mix(out[size:] + np.uint64(size)))
+        size *= 2
+    return out[:n]
+
+
+def _power(at_most: int, least: int) -> int:
+    """The greatest power of 2 times ``least`` that is not over ``at_most``, ``least`` at least."""
+    size = least
+    while 2 * size <= at_most:
+        size *= 2
+    return size
 
 
 def _texts(batch: pa.RecordBatch, at_once: int = 1_000_000) -> Iterator[tuple[int, int, list[bytes]]]:
@@ -55,7 +67,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def segments(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    gram = GRAM
+    gram = _power(min(GRAM, length // 4), 8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -64,10 +76,10 @@ def segments(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text
                 lengths = np.array([len(x) for x in texts], np.int64)
                 raw = np.frombuffer(b"".join(texts) + bytes(gram), np.uint8)
                 n = int(lengths.sum())
-                found = repeats.runs(_grams(raw, n), _TABLE[raw[:n]], lengths, length, gram)
+                found = repeats.runs(_grams(raw, n, gram), _TABLE[raw[:n]], lengths, length, gram)
                 yield repeats.segment_batch(ids[first:stop], found)
 
-    return _rows(docs, id_col, text_col).mapInArrow(run, repeats.SEGMENT)
+    return _rows(docs, id_col, text_col).where("doc_id IS NOT NULL").mapInArrow(run, repeats.SEGMENT)
 
 
 def _cut(text: bytes, starts: np.ndarray, stops: np.ndarray) -> list[bytes]:
@@ -104,7 +116,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text
 def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, spans, kept): the removed spans and the bytes that stay."""
     spans = stage(repeated(docs, length, id_col, text_col), "spans")
-    joined = _rows(docs, id_col, text_col).join(spans, "doc_id", "left")
+    joined = _rows(docs, id_col, text_col).join(spans.hint("merge"), "doc_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
