@@ -2,8 +2,8 @@
 
 1. One pass over the texts gives the size and the digest of each shingle set and its fast similarity
    sketch (module ``sketch``), cut into bands. Equal sets are one class from here on.
-2. Classes that share a band are candidates. Each is compared with the least class of the band only,
-   on the full sets, so a band of m classes costs m comparisons.
+2. Classes that share a band are candidates. Each is compared on the full sets with one class of the
+   band only, the one whose bands are the most common, so a band of m classes costs m comparisons.
 3. What is linked by now is one component. Links between different components are then found by
    prefix filtering: in one fixed order of all shingles, rare ones first, two sets that are alike
    share one of their first shingles, at places early enough. Pairs within a component are left out,
@@ -155,8 +155,15 @@ def near_dedup(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, id
     classes = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n_shingles").agg(F.min(F.struct("doc_id", "bands")).alias("one"))
     classes = stage(classes.select("d1", "d2", "n_shingles", F.col("one.doc_id").alias("node"), "one.bands"), "classes")
     banded = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
-    leaders = banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("one"), F.count("*").alias("m")).where("m > 1")
-    met = stage(banded.join(leaders.select("band", "one"), "band").select("node", "n", "one").distinct(), "met")
+    many = banded.groupBy("band").agg(F.count("*").alias("m")).where("m > 1")
+    shared = stage(banded.join(many, "band"), "shared")
+    # a band's members are compared with the one whose bands are the most common: the text that the
+    # others were made from, where there is one, rather than just another variant
+    weighted = shared.join(shared.groupBy("node").agg(F.sum("m").alias("weight")), "node")
+    best = F.max(F.struct("weight", (-F.col("node")).alias("minus"), "n"))
+    leaders = weighted.groupBy("band").agg(best.alias("best"))
+    leaders = leaders.select("band", F.struct((-F.col("best.minus")).alias("node"), F.col("best.n").alias("n")).alias("one"))
+    met = stage(weighted.join(leaders, "band").select("node", "n", "one").distinct(), "met")
     wanted = met.select("node").distinct()
     sets = stage(full_sets(docs, wanted, words, id_col, text_col), "sets")
     pairs = met.where(
