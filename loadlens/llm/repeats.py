@@ -12,6 +12,8 @@ form a segment, of less than two windows' length; a text has one for some third
    Parts that no other class can share are trimmed first, after which most are equal and collapse.
    The others are cut where any two of them part and so become short strings of symbols, and an
    index over these (suffix array or suffix automaton, from the caller) tells what they share.
+4. ``by_cells`` compares the classes of anchors that have more of them than a task should hold, by
+   hashes of parts that are cut finer and finer, in Spark's aggregates only.
 
 A class is compared once, however many documents hold it, so groups of copies cost what one copy
 costs, and no pair of documents is ever formed.
@@ -222,6 +224,10 @@ class Strings:
 
 #: Classes whose texts are compared at once; an anchor's classes are never split.
 AT_ONCE = 20_000
+#: Classes of one anchor that a task takes; anchors with more go to ``by_cells``.
+AT_MOST = 5_000
+#: Parts that a cell is cut into.
+FAN = 8
 
 
 def match(group: np.ndarray, left: list[bytes], right: list[bytes], docs: np.ndarray, counts: np.ndarray,
@@ -375,6 +381,102 @@ def resolve(parts: DataFrame, window: int, unit: int, earlier: bool, encode: Cal
     return dealt.mapInArrow(run, "doc_id bigint, start bigint, stop bigint")
 
 
+def _cut_cells(wanted: DataFrame, window: int, unit: int, encode: Callable[[bytes], bytes], parent: int, width: int) -> DataFrame:
+    """The cells of ``width`` in those of ``parent`` offsets that begin at ``lows``, for each class that
+    has windows there. ``key`` is a hash of what all windows of a cell have in common, ``whole`` one
+    of all that the class's windows there cover, from ``start`` to ``stop`` around the anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for large in batches:
+            for at in range(0, large.num_rows, 1_000):
+                batch = large.slice(at, 1_000)
+                anchor, before, after = (batch.column(names.index(x)).to_numpy() for x in ("anchor", "before", "after"))
+                raw = [encode(x) for x in batch.column(names.index("part")).to_pylist()]
+                units = mix(np.frombuffer(b"".join(raw), f"<u{unit}").astype(np.uint64) + np.uint64(1))
+                up, down = _powers.to(len(units) + 1)
+                sums = np.zeros(len(units) + 1, np.uint64)
+                np.cumsum(units * up[:-1], out=sums[1:])
+                sizes = np.array([len(x) // unit for x in raw], np.int64)
+                origin = np.cumsum(sizes) - sizes + before
+                lows = batch.column(names.index("lows"))
+                row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lows).to_numpy())
+                low = lows.flatten().to_numpy().astype(np.int64)
+                each = -(-parent // width)
+                row, first = np.repeat(row, each), np.repeat(low, each)
+                low = first + np.tile(np.arange(each) * width, len(low))
+                high = np.minimum(np.minimum(low + width, first + parent), window) - 1
+                a, b = np.maximum(low, window - after[row]), np.minimum(high, before[row])
+                own = np.flatnonzero(a <= b)
+                row, low, high, a, b = (x[own] for x in (row, low, high, a, b))
+                place = origin[row]
+                part = lambda x, y: (sums[y] - sums[x]) * down[x]
+                key = mix(part(place - low, place + window - high) ^ mix(mix(anchor[row].view(np.uint64)) + low.astype(np.uint64)))
+                shape = (a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)
+                whole = mix(part(place - b, place + window - a) ^ mix(key + shape))
+                kept = batch.select(["anchor", "cls", "n", "doc_id", "ats"]).take(pa.array(row))
+                new = [pa.array(x.astype(np.int32)) for x in (low, -b, window - a)] + [pa.array(x.view(np.int64)) for x in (key, whole)]
+                yield pa.RecordBatch.from_arrays(kept.columns + new, out)
+
+    schema = "anchor bigint, cls bigint, n bigint, doc_id bigint, ats array<bigint>, low int, start int, stop int, key bigint, whole bigint"
+    out = [x.split()[0] for x in schema.split(", ")]
+    names = wanted.columns
+    return wanted.mapInArrow(run, schema)
+
+
+def by_cells(parts: DataFrame, window: int, unit: int, earlier: bool, encode: Callable[[bytes], bytes]) -> DataFrame:
+    """What ``resolve`` tells, however many classes an anchor has; ``parts`` should be a stored table.
+
+    The windows of an anchor are told apart by the units they hold before it. A cell is a range of
+    these offsets: windows can be equal only if their cells agree in what all their windows have in
+    common (``key``), and all of them are equal if the cells agree as a whole. Of classes that agree
+    as a whole one goes on, with the others of its key, to cells cut finer, down to single windows.
+    So each class goes on in the few cells only in which it parts from the others."""
+    found, parent = [], window
+    wanted = parts.withColumn("lows", F.array(F.lit(0)))
+    while True:
+        width = -(-parent // FAN)
+        cells = stage(_cut_cells(wanted, window, unit, encode, parent, width), "cells")
+        kinds = cells.groupBy("key", "whole").agg(
+            F.sum("n").alias("total"), F.min(F.struct("doc_id", "anchor", "cls")).alias("one")
+        )
+        kinds = stage(kinds.select("key", "whole", "total", F.col("one.doc_id").alias("first"), F.col("one.cls").alias("sign")), "kinds")
+        equal = cells.join(kinds.where("total > 1").hint("merge"), ["key", "whole"])
+        equal = equal.where("doc_id > first" if earlier else "n = 1")
+        found.append(equal.select("doc_id", F.explode("ats").alias("at"), "start", "stop"))
+        if width == 1:
+            break
+        # keys with several kinds, of which at least one is not settled
+        several = kinds.groupBy("key").agg(
+            F.count("*").alias("kinds"), F.min("total").alias("least"), F.min("first").alias("low"), F.max("first").alias("high")
+        )
+        several = several.where("kinds > 1").where("low < high" if earlier else "least = 1").select("key")
+        going = stage(kinds.join(stage(several, "several").hint("merge"), "key"), "going")
+        # of the classes of one document each has places of its own
+        chosen = "doc_id = first" if earlier else "doc_id = first AND cls = sign"
+        lows = cells.join(going.hint("merge"), ["key", "whole"]).where(chosen)
+        lows = stage(lows.groupBy("anchor", "cls").agg(F.collect_list("low").alias("lows")), "lows")
+        if lows.isEmpty():
+            break
+        wanted, parent = parts.join(lows.hint("merge"), ["anchor", "cls"]), width
+    rows = found[0]
+    for more in found[1:]:
+        rows = rows.unionByName(more)
+    return rows.select("doc_id", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("stop")).alias("stop"))
+
+
+def compare(classes: DataFrame, docs: DataFrame, cut: Callable[[bytes, np.ndarray, np.ndarray], list[bytes]], window: int, unit: int, earlier: bool,
+            encode: Callable[[bytes], bytes], index: Callable[[Strings], Iterator[tuple[int, int, int]]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, start, stop) in units, for the documents that stand for their class: ``resolve`` for
+    the anchors that a task can hold, ``by_cells`` for the others."""
+    sizes = classes.groupBy("anchor").agg(F.count("*").alias("classes"))
+    large = stage(sizes.where(F.col("classes") > AT_MOST).select("anchor"), "large")
+    if large.isEmpty():
+        return resolve(contexts(classes, docs, cut, id_col, text_col), window, unit, earlier, encode, index)
+    few = contexts(classes.join(large, "anchor", "left_anti"), docs, cut, id_col, text_col)
+    many = stage(contexts(classes.join(large, "anchor", "left_semi"), docs, cut, id_col, text_col), "many")
+    return resolve(few, window, unit, earlier, encode, index).unionByName(by_cells(many, window, unit, earlier, encode))
+
+
 def spans(found: DataFrame) -> DataFrame:
     """(doc_id, starts, stops) from (doc_id, start, stop), not yet merged."""
     both = F.collect_list(F.struct("start", "stop"))

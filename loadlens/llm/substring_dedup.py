@@ -148,8 +148,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text
     """(doc_id, start, stop): parts that an earlier document has, in words, not yet merged."""
     found = stage(segments(docs, length, id_col, text_col), "segments")
     known = repeats.classify(found, earlier=True)
-    parts = repeats.contexts(known.classes, docs, _cut, id_col, text_col)
-    compared = repeats.resolve(parts, length, 8, True, _units, by_automaton)
+    compared = repeats.compare(known.classes, docs, _cut, length, 8, True, _units, by_automaton, id_col, text_col)
     return repeats.spans(known.whole.unionByName(compared))
 
 

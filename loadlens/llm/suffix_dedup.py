@@ -108,8 +108,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text
     """(doc_id, starts, stops): parts that repeat, in bytes, overlapping ones not yet merged."""
     found = stage(segments(docs, length, id_col, text_col), "segments")
     known = repeats.classify(found, earlier=False)
-    parts = repeats.contexts(known.classes, docs, _cut, id_col, text_col)
-    compared = repeats.resolve(parts, length, 1, False, bytes, by_suffix_array)
+    compared = repeats.compare(known.classes, docs, _cut, length, 1, False, bytes, by_suffix_array, id_col, text_col)
     return repeats.spans(known.whole.unionByName(compared))
 
 

@@ -156,3 +156,40 @@ def test_segments_cover_every_window_once():
     doc, at, left, right, _, _ = repeats.runs(repeats.mix(values), values, lengths, 7, 1)
     windows = sorted((d, a - b + k) for d, a, b, c in zip(doc, at, left, right) for k in range(b + c - 6))
     assert windows == [(d, k) for d, n in enumerate(lengths) for k in range(n - 6)]
+
+
+def one_passage(seed, documents=90):
+    """Texts that hold parts of one passage among words of their own, some of them twice."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6)))
+    passage = [word() for _ in range(50)]
+    out = []
+    for _ in range(documents):
+        words = [word() for _ in range(rng.randint(0, 8))]
+        for _ in range(rng.choice((1, 1, 2))):
+            words += passage[rng.randint(0, 12) : rng.randint(35, 50)] + [word() for _ in range(rng.randint(0, 8))]
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("op, length", [(suffix_dedup, 64), (substring_dedup, 12)])
+@pytest.mark.parametrize("texts", [one_passage(7), mixed(8)], ids=["passage", "mixed"])
+def test_anchors_with_many_contexts_do_not_meet_in_a_task(make, monkeypatch, op, length, texts):
+    seen, resolve = [], repeats.resolve
+
+    def watched(parts, *rest):
+        seen.append(max((r["count"] for r in parts.groupBy("anchor").count().collect()), default=0))
+        return resolve(parts, *rest)
+
+    monkeypatch.setattr(repeats, "AT_MOST", 3, raising=False)
+    monkeypatch.setattr(repeats, "resolve", watched)
+    out = {r["doc_id"]: bytes(r["kept"]) for r in op.remove(make(texts), length).collect()}
+    assert seen and max(seen) <= 3
+    if op is suffix_dedup:
+        raw = [t.encode() for t in texts]
+        want = {k: bytes(b for b, c in zip(raw[k], x) if not c) for k, x in enumerate(bytes_removed(raw, length))}
+    else:
+        docs = [(k, t.encode().split()) for k, t in enumerate(texts)]
+        covered = words_removed(docs, length)
+        want = {k: b" ".join(w for w, c in zip(words, covered[k]) if not c) for k, words in docs}
+    assert out == want
