@@ -1,7 +1,7 @@
 """Secrets in texts, with a random forest that removes false positives.
 
-Patterns propose candidates: values assigned to a telling name, key blocks, and long runs of key
-characters. Each candidate is described by its length, its transitions between classes of
+Patterns propose candidates: key blocks, values assigned to a telling name, and long runs of key
+characters, each searched on its own. Each candidate is described by its length, its transitions between classes of
 characters, how much of it words of the corpus cover, how like a path it and its source are, and
 the words next to it. A random forest (Spark's) trained on labelled candidates decides.
 
@@ -37,11 +37,13 @@ DICTIONARY = 5_000
 MASK = "[SECRET]"
 
 _NAMES = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth)"
-_PATTERN = re.compile(
-    rf"(?P<block>-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----)"
-    rf"|(?i:(?<![A-Za-z]){_NAMES}[\"']?[ \t]*[:=][ \t]*[\"']?)(?P<named>[^\s\"']{{6,}})"
-    r"|(?P<run>[A-Za-z0-9+/_-]{16,}={0,2})"
-)
+#: Kinds of candidates: (pattern, least length), each searched in the whole text. A span of an earlier
+#: kind is cut out of those of later kinds.
+_KINDS = {
+    "block": (re.compile(r"(?P<value>-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?!-----BEGIN ).)*?-----END [A-Z ]*PRIVATE KEY-----)", re.DOTALL), 1),
+    "named": (re.compile(rf"(?i:(?<![A-Za-z]){_NAMES}[\"']?[ \t]*[:=][ \t]*[\"']?)(?P<value>[^\s\"']{{6,}})"), 6),
+    "run": (re.compile(r"(?P<value>[A-Za-z0-9+/_-]{16,}={0,2})"), 16),
+}
 _TELLING = re.compile(_NAMES, re.IGNORECASE)
 _EXAMPLE = re.compile(r"test|example|sample|doc|spec|fixture", re.IGNORECASE)
 #: Formats that only keys have: published prefixes of access keys, and key blocks.
@@ -71,6 +73,27 @@ def _covered(value: str, words: frozenset[str]) -> float:
     return best[-1] / max(1, len(low))
 
 
+def _spans(text: str) -> list[tuple[int, int, str]]:
+    """(start, stop, kind) of the candidates of a text, in order, none overlapping."""
+    taken: list[tuple[int, int, str]] = []
+    for kind, (pattern, least) in _KINDS.items():
+        own, k = [], 0
+        for found in pattern.finditer(text):
+            at, stop = found.span("value")
+            while k < len(taken) and taken[k][1] <= at:
+                k += 1
+            j = k
+            while j < len(taken) and taken[j][0] < stop:
+                if taken[j][0] - at >= least:
+                    own.append((at, taken[j][0], kind))
+                at = max(at, taken[j][1])
+                j += 1
+            if stop - at >= least:
+                own.append((at, stop, kind))
+        taken = sorted(taken + own)
+    return taken
+
+
 def features(value: str, before: str, after: str, source: str, words: frozenset[str]) -> list[float]:
     n = max(1, len(value))
     kinds = [_class(x) for x in value]
@@ -115,10 +138,8 @@ def candidates(docs: DataFrame, words: frozenset[str], id_col: str = "doc_id", t
             for ids, texts in some([batch]):
                 rows = []
                 for doc_id, text in zip(ids, texts):
-                    for found in _PATTERN.finditer(text):
-                        kind = found.lastgroup
-                        start, stop = found.span(kind)
-                        value = found[kind]
+                    for start, stop, kind in _spans(text):
+                        value = text[start:stop]
                         if kind == "named":  # marks that end a sentence are not part of it
                             value = value.rstrip(".,;)")
                             stop = start + len(value)

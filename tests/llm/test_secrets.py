@@ -84,3 +84,20 @@ def test_key_blocks_and_short_values(make):
     docs = make([f"x {block} y", "password: hunter2hunter2, next", "the password is kept"])
     got = {(r["doc_id"], r["value"]) for r in S.scan(docs).where("secret").collect()}
     assert got == {(0, block), (1, "hunter2hunter2")}
+
+
+def test_long_names_keys_and_encrypted_blocks(make):
+    """A name of many key characters does not swallow the value that it tells of."""
+    block = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\nabc\n-----END RSA PRIVATE KEY-----"
+    texts = [
+        "DB_ADMIN_PASSWORD=Tr0ub4dor", "DB_ADMIN_PASSWORD = Tr0ub4dor", '"service_account_password": "Tr0ub4dor"',
+        "config/prod/db_password=Tr0ub4dor", f"private_key = {block}", f"-----BEGIN RSA PRIVATE KEY-----\ncut off\n{block}",
+    ]
+    found = S.candidates(make(texts), frozenset()).collect()
+    values = [{r["value"] for r in found if r["doc_id"] == k} for k in range(len(texts))]
+    assert all("Tr0ub4dor" in x for x in values[:4])
+    assert block in values[4] and block in values[5]
+    for k, text in enumerate(texts):
+        own = sorted((r["start"], r["stop"], r["value"]) for r in found if r["doc_id"] == k)
+        assert all(text[a:b] == v for a, b, v in own)
+        assert all(x[1] <= y[0] for x, y in zip(own, own[1:]))
