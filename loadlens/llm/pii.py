@@ -7,7 +7,9 @@ distinct contexts of the entity, and p(t) and p(e) from the documents of the who
     PMI(t; e) = log2(p(t|e) / p(t))   >=   ``alpha`` * IC(e) = -``alpha`` * log2 p(e)
 
 Terms over the threshold are reported as spans of kind ``term`` wherever they stand near that
-entity. Copies of a context count once, and ``evidence`` distinct contexts are needed.
+entity. Copies of a context count once, and ``evidence`` distinct contexts are needed. A context is
+the ``CONTEXT`` code points of the text on either side, whatever stands there; other matches of the
+entity's kind in it count as so many zeros. Terms farther away are not counted.
 
 Defined results: NULL text counts as empty; a document without findings has zero counts and empty
 span lists. Rows are told apart by their place in the input, so repeated rows are reported each.
@@ -64,6 +66,21 @@ def _hits(kind: str) -> Column:
     return found.alias(kind)
 
 
+def _context(kind: str, side: str) -> str:
+    """The code points on one side of match ``k``, put together from the gaps and matches there."""
+    hits, gaps, n = kind, f"{kind}_gaps", CONTEXT
+    most = -(-n // 2)  # a match has two code points at least
+    if side == "before":
+        first, number = f"greatest(k - {most}, 0) + 1", f"least(k, {most})"
+        pairs = f"zip_with(slice({gaps}, {first}, {number}), slice({hits}, {first}, {number}), (g, x) -> concat(right(g, {n}), repeat('0', least(length(x), {n}))))"
+        out = f"right(concat(array_join({pairs}, ''), right({gaps}[k], {n})), {n})"
+    else:
+        pairs = f"zip_with(slice({hits}, k + 2, {most}), slice({gaps}, k + 3, {most}), (x, g) -> concat(repeat('0', least(length(x), {n})), left(g, {n})))"
+        out = f"left(concat(left({gaps}[k + 1], {n}), array_join({pairs}, '')), {n})"
+    # numbers too short for a card need no context
+    return f"CASE WHEN length(h) < 16 THEN '' ELSE {out} END" if kind == "card" else out
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, doc_id, hits) of each row: all pattern matches, those that fail their test included."""
     out = docs.select(
@@ -79,7 +96,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     each = [
         f"CASE WHEN {kind}_gaps IS NULL THEN array() ELSE transform({kind}, (h, k) -> named_struct("
         f"'kind', '{kind}', 'k', k, 'gap', length({kind}_gaps[k]), 'hit', h, "
-        f"'before', right({kind}_gaps[k], {CONTEXT}), 'after', left({kind}_gaps[k + 1], {CONTEXT}))) END"
+        f"'before', {_context(kind, 'before')}, 'after', {_context(kind, 'after')})) END"
         for kind in KINDS
     ]
     kinds = "array<struct<kind:string,k:int,gap:int,hit:string,before:string,after:string>>"

@@ -75,3 +75,14 @@ def test_terms_that_give_an_entity_away(make):
     assert masked[60] == "common [TERM] writes [EMAIL] this"
     assert masked[62] == "unique Oncebefore [EMAIL] line"
     assert masked[0] == filler[0]
+
+
+def test_context_goes_on_behind_other_matches(make):
+    """Numbers that are no card, and other addresses, do not end the context of an entity."""
+    filler = [f"common words fill this line number{k} here" for k in range(60)]
+    card = "4111 1111 1111 1111"
+    texts = [*filler, f"Zanzibarova, born 1970, card {card}", f"card {card}, of 2001: zanzibarova here"]
+    texts += ["Quillfeather: a1@ex.org, jo@ex.org common", "this jo@ex.org, b2@ex.org and quillfeather words"]
+    terms = {(r["doc_id"], s["start"], s["end"]) for r in pii.find(make(texts)).collect() for s in r["spans"] if s["kind"] == "term"}
+    assert {(60, 0, 11), (61, texts[61].index("zanz"), texts[61].index("zanz") + 11)} <= terms
+    assert {(62, 0, 12), (63, texts[63].index("quill"), texts[63].index("quill") + 12)} <= terms
