@@ -106,3 +106,16 @@ def test_load_out_filter_reaches_the_scan(spark, sf_dir, tmp_path, capsys):
     assert "In(change_type_code, [PICKCI,PICKCO])" in plan
     assert "EqualTo(trnsp_stage_num,1)" in plan
     assert "ship_to_party_desc" not in plan
+
+
+def test_multi_key_lookups_with_more_customers_than_a_broadcast_takes(spark, sf_dir):
+    from catalog.registry import OVER_VIEWS
+    from loadlens.demo.views import Views
+
+    class Many(Views):
+        @property
+        def party_flags(self):
+            return spark.range(2_000_001).selectExpr("cast(id AS string) AS ship_to_num", "'Y' AS party_flag")
+
+    out = OVER_VIEWS["multi_key_lookups"](Many(spark, sf_dir))
+    assert out.where("party_flag = 'Y'").count() > 0
