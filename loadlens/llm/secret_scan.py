@@ -10,8 +10,8 @@ published key formats or assignments leave no doubt. A value counts once in trai
 often it occurs, and at most ``TRAINED`` values of each label are used, those of least hash.
 
 Defined results: NULL text counts as empty and has no findings. Repeated rows are reported each.
-If either label has fewer than ``LEAST`` values there is no forest, and a candidate counts as
-secret if the rules say so. No rows give no rows. Texts are scanned whole.
+If either label has fewer than ``LEAST`` values there is no forest: a candidate counts as secret if
+the rules say so or, where they say nothing, if it is assigned to a telling name. No rows give no rows. Texts are scanned whole.
 """
 
 from __future__ import annotations
@@ -114,8 +114,8 @@ def _rule(value: str, named: bool) -> int | None:
     if _FORMAT.match(value):
         return 1
     letters, digits = sum(x.isalpha() for x in value), sum(x.isdigit() for x in value)
-    if named and len(value) >= 12 and letters and digits:
-        return 1
+    if named:  # a password may be a word or a number
+        return 1 if len(value) >= 12 and letters and digits else None
     return 0 if not digits or not letters else None
 
 
@@ -156,8 +156,9 @@ def candidates(docs: DataFrame, words: frozenset[str], id_col: str = "doc_id", t
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """(value, secret) of the values that the rules are sure of."""
-    return found.where("rule IS NOT NULL").groupBy("value").agg(F.max("rule").alias("secret"))
+    """(value, secret) of the values that the rules are sure of, wherever they stand."""
+    values = found.groupBy("value").agg(F.max("rule").alias("secret"), F.count_if(F.col("rule").isNull()).alias("open"))
+    return values.where("secret = 1 OR (secret = 0 AND open = 0)").select("value", "secret")
 
 
 def _samples(found: DataFrame, labels: DataFrame, most: int) -> DataFrame:
@@ -184,9 +185,9 @@ def train(found: DataFrame, labels: DataFrame, most: int = TRAINED, trees: int =
 def judge(found: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
     """``found`` with ``probability`` and ``secret``."""
     if model is None:
-        return found.withColumn("probability", F.coalesce("rule", F.lit(0)).cast("double")).withColumn(
-            "secret", F.col("probability") >= 0.5
-        )
+        telling, assigned = (F.col("features")[FEATURES.index(x)] for x in ("telling_before", "assigned"))
+        score = F.coalesce(F.col("rule").cast("double"), F.round(0.4 * telling + 0.3 * assigned, 6))
+        return found.withColumn("probability", score).withColumn("secret", F.col("probability") >= 0.5)
     rows = found.withColumn("vector", array_to_vector("features"))
     model.setFeaturesCol("vector").setProbabilityCol("chances").setPredictionCol("decision").setRawPredictionCol("votes")
     out = model.transform(rows).withColumn("probability", F.round(vector_to_array("chances")[1], 6))

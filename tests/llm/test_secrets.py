@@ -101,3 +101,11 @@ def test_long_names_keys_and_encrypted_blocks(make):
         own = sorted((r["start"], r["stop"], r["value"]) for r in found if r["doc_id"] == k)
         assert all(text[a:b] == v for a, b, v in own)
         assert all(x[1] <= y[0] for x, y in zip(own, own[1:]))
+
+
+def test_named_words_and_numbers_are_no_sure_negatives(make):
+    texts = ["password=correcthorsebattery", "token: 8274619302", "the correcthorsebattery runs", "a plain correcthorsestapler"]
+    found = S.candidates(make(texts), frozenset())
+    assert {r["value"]: r["secret"] for r in S.rule_labels(found).collect()} == {"correcthorsestapler": 0}
+    secret = {(r["doc_id"], r["value"]) for r in S.scan(make(texts)).where("secret").collect()}
+    assert secret == {(0, "correcthorsebattery"), (1, "8274619302")}
