@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from loadlens.llm import (
     bpe,
+    divergence,
     exact_dedup,
+    hard_negatives,
     near_dedup,
     packing,
     pii,
@@ -20,6 +22,7 @@ from loadlens.llm import (
     staging,
     substring_dedup,
     suffix_dedup,
+    token_counts,
     token_files,
     tokens,
 )
@@ -102,3 +105,22 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(documents(spark, sf_dir))
     return found.select("doc_id", "start", "stop", F.sha2("value", 256).alias("value_sha256"), "probability", "secret")
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokens.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    stored = stage(token_counts.prefix_counts(documents(spark, sf_dir), vocabulary), "prefix-counts")
+    return token_counts.fit(stored, 1024).select("doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars", "fit_tokens")
+
+
+@query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging.find_package(spark)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0, label=label)
