@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query
+from loadlens.demo.views import LINE_KEY, Views
 from loadlens.functions import rules as R
 from loadlens.functions.dates import week_key
 from loadlens.functions.keys import key_of, last_chars, strip_one_zero
@@ -275,25 +276,49 @@ def _(v):
     return J.right_join(tenders, weekly, keys)
 
 
+_LOAD = "substring(lpad(cast(l_orderkey + 100000000 as varchar), 10, '0'), 2, 9)"
+
+
 @query(
     "fallback_lookup",
     """SELECT line_key, coalesce(a.csot_update_reason_code, b.csot_update_reason_code, c.csot_update_reason_code) AS csot_update_reason_code,
   coalesce(a.reason_code, b.reason_code, c.reason_code) AS reason_code,
   coalesce(a.aot_reason_code, b.aot_reason_code, c.aot_reason_code) AS aot_reason_code
-FROM fkeys LEFT JOIN v_reasons a ON both_key = a.poload_id
-LEFT JOIN v_reasons b ON order_num = b.poload_id LEFT JOIN v_reasons c ON load_id = c.poload_id""",
+FROM fkeys LEFT JOIN by_key a ON order_num || load_id = a.poload_id
+LEFT JOIN by_key b ON order_num = b.poload_id LEFT JOIN by_key c ON load_id = c.poload_id""",
     {
-        **LOADED,
-        "fkeys": "SELECT line_key, order_num, load_id, order_num || load_id AS both_key FROM e",
+        # the few columns of the three tables that the keys and the reasons are made of
+        "fkeys": f"""SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_quantity as decimal(18,2)),
+    cast(l_extendedprice as decimal(18,2))) AS line_key, 'PO' || l_partkey AS order_num, {_LOAD} AS load_id, l_returnflag,
+  cast(round(l_tax * 100) as integer) AS tax, o_orderpriority, p_size, p_brand
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
+        "by_key": """SELECT load_id || CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE 'U' END AS poload_id,
+  cast(NULL as varchar) AS csot_update_reason_code, max(o_orderpriority) AS reason_code, 'by load' AS aot_reason_code FROM fkeys GROUP BY 1
+UNION ALL SELECT order_num || load_id || CASE WHEN l_returnflag = 'R' THEN '' ELSE 'U' END,
+  max(CASE WHEN tax > 4 THEN 'Weather' END), max('B' || tax), 'by both' FROM fkeys GROUP BY 1
+UNION ALL SELECT order_num || CASE WHEN p_size >= 40 THEN '' ELSE 'U' END, max(CASE WHEN p_size > 45 THEN 'On Time' END), max(p_brand), NULL
+FROM fkeys GROUP BY 1""",
     },
 )
 def _(v):
-    v = v.as_stored()
-    rows = staged(
-        loaded(v).select("line_key", "order_num", "load_id").withColumn("both", key_of("order_num", "load_id"))
+    """Reason codes of each event by order and load, else by order, else by load. Keys and reasons are
+    made of a few columns, which are stored once."""
+    narrow = Views(v.spark, v.sf_dir)
+    lines = v.lines if v.stored else v.table("lineitem").join(
+        v.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    ).join(v.table("part"), F.col("l_partkey") == F.col("p_partkey")).withColumn("tax", F.round(F.col("l_tax") * 100).cast("int"))
+    narrow.lines = staged(
+        lines.select(
+            F.expr(LINE_KEY).alias("line_key"), "l_orderkey", "l_partkey", "l_returnflag", "tax", "o_orderpriority", "p_size", "p_brand"
+        )
     )
+    rows = narrow.lines.select(
+        "line_key",
+        F.expr("'PO' || cast(l_partkey as string)").alias("order_num"),
+        last_chars(F.expr("lpad(cast(l_orderkey + 100000000 as string), 10, '0')"), 9).alias("load_id"),
+    ).withColumn("both", key_of("order_num", "load_id"))
     cols = ["csot_update_reason_code", "reason_code", "aot_reason_code"]
-    out = J.fallback_lookup(rows, staged(v.reasons), "poload_id", ["both", "order_num", "load_id"], cols)
+    out = J.fallback_lookup(rows, narrow.reasons, "poload_id", ["both", "order_num", "load_id"], cols)
     return out.select("line_key", *cols)
 
 
@@ -580,3 +605,21 @@ def _(v):
         left, v.master_right, ["item_id", "unit"], COMPARED, carry=["box_name"], numeric=True
     )
     return report.withColumn("box_name", F.substring("box_name", 5, 3))
+
+
+@query(
+    "reconcile_copies",
+    """SELECT item_id, unit, column_name, left_val, right_val, box_name FROM (
+  SELECT l.item_id, l.unit, 'vol_qty' AS column_name, coalesce(trim(l.vol_qty), '') AS left_val, 'changed' AS right_val, l.box_name, r.p_size
+  FROM v_master_left l JOIN part r ON l.item_id = cast(r.p_partkey as varchar)) WHERE p_size = 17
+UNION ALL SELECT l.item_id, l.unit, 'missing_row', NULL, NULL, l.box_name
+FROM v_master_left l JOIN part r ON l.item_id = cast(r.p_partkey as varchar) WHERE p_size = 31""",
+)
+def _(v):
+    """Two stored copies of a master table that differ in few rows."""
+    size = F.col("p_size")
+    other = v.master_left.join(v.table("part").select(F.col("p_partkey").cast("string").alias("item_id"), size), "item_id")
+    other = other.where(size != 31).withColumn("vol_qty", F.when(size == 17, F.lit("changed")).otherwise(F.col("vol_qty")))
+    left, right = staged(v.master_left), staged(other.drop("p_size"))
+    report = Q.reconcile_by_digest(left, right, ["item_id", "unit"], COMPARED, carry=["box_name"], numeric=True)
+    return report.select("item_id", "unit", "column_name", "left_val", "right_val", "box_name")

@@ -128,6 +128,13 @@ def customer_levels(text: str) -> dict[str, str]:
     return levels
 
 
+#: Key of a line item; the numbers alone are not unique in the test data.
+LINE_KEY = (
+    "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+    "cast(l_quantity as decimal(18,2)), cast(l_extendedprice as decimal(18,2)))"
+)
+
+
 class Views:
     """Lazy frames over one data folder.
 
@@ -195,10 +202,7 @@ class Views:
     def events(self) -> DataFrame:
         """One row per shipment-stage-event, with dates and times as text."""
         cols: dict[str, str] = {
-            "line_key": (
-                "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
-                "cast(l_quantity as decimal(18,2)), cast(l_extendedprice as decimal(18,2)))"
-            ),
+            "line_key": LINE_KEY,
             "shpmt_id": "lpad(cast(l_orderkey + 100000000 as string), 10, '0')",
             "order_num": "'PO' || cast(l_partkey as string)",
             "cust_po_num": "'C' || cast(l_partkey as string)",

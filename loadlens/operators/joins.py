@@ -186,17 +186,31 @@ def fallback_lookup(
     """Look ``cols`` up by several keys of ``df``; the first key in ``via`` that has a value wins.
 
     ``lookup`` has one row per ``key``. Each column is resolved on its own, so a hit with
-    a NULL value falls through to the next key. ``df`` is best a stored table: its keys
-    are counted before it is joined.
+    a NULL value falls through to the next key.
+
+    Every row sends its keys with their rank, the first of them with the row itself, so the
+    lookup is joined once whatever the number of keys; what the keys of a row have found then
+    meets in one aggregation, a few rows a group. Rows are numbered as they are read, so
+    ``df`` must be a stored table (``staged``): a task that runs again has to read the same
+    rows in the same order.
     """
-    tmp = {c: [f"_{c}_{i}" for i in range(len(via))] for c in cols}
-    out = df
-    for i, via_key in enumerate(via):
-        side = lookup.where(F.col(key).isNotNull()).select(
-            F.col(key).alias(via_key), *[F.col(c).alias(tmp[c][i]) for c in cols]
-        )
-        out = lookup_join(out, side, via_key, counts=key_counts(df, [via_key]))
-    return out.select(*df.columns, *[F.coalesce(*[F.col(t) for t in tmp[c]]).alias(c) for c in cols])
+    own, nothing = F.struct(*df.columns), F.lit(None).cast(df.schema)
+    asks = [
+        F.struct(F.lit(i).alias("_rank"), F.col(k).alias("_key"), (nothing if i else own).alias("_own"))
+        for i, k in enumerate(via)
+    ]
+    numbered = df.select(F.monotonically_increasing_id().alias("_row"), F.array(*asks).alias("_asks"))
+    sent = numbered.select("_row", F.inline("_asks")).where("_rank = 0 OR _key IS NOT NULL")
+    # NULL keys find nothing and may be many: they go to slots that the lookup does not have
+    slot = F.when(F.col("_key").isNull(), F.pmod(F.xxhash64("_row"), F.lit(NULL_SLOTS))).otherwise(-1)
+    found = {c: f"_found_{i}" for i, c in enumerate(cols)}
+    side = lookup.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.lit(-1).cast("bigint").alias("_slot"), *[F.col(c).alias(f) for c, f in found.items()]
+    )
+    hits = sent.withColumn("_slot", slot.cast("bigint")).join(side, ["_key", "_slot"], "left")
+    first = [F.min_by(f, F.when(F.col(f).isNotNull(), F.col("_rank"))).alias(f) for f in found.values()]
+    whole = hits.groupBy("_row").agg(F.first("_own", ignorenulls=True).alias("_own"), *first)
+    return whole.select("_own.*", *[F.col(f).alias(c) for c, f in found.items()])
 
 
 def two_pass_match(

@@ -34,7 +34,7 @@ def test_no_query_pairs_all_rows(name, stored):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name, most", [("weekly_scorecard", 7), ("fill_rate_load_agg", 8), ("fallback_lookup", 14)])
+@pytest.mark.parametrize("name, most", [("weekly_scorecard", 7), ("fill_rate_load_agg", 8), ("fallback_lookup", 4)])
 def test_sources_are_read_once_or_from_a_stored_table(name, most, stored):
     assert plan_of(registry.OVER_VIEWS[name](stored)).count("FileScan") <= most
 
