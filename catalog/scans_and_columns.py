@@ -15,6 +15,7 @@ from loadlens.operators.filters import where_by_param, where_has_value
 from loadlens.operators.joins import enrich
 from loadlens.plans.on_time import channel_of_customer
 from loadlens.sources import sinks, tables
+from loadlens.sources.slices import Conflict, SliceTable
 
 
 def current_customers(v) -> DataFrame:
@@ -322,3 +323,84 @@ def _(v):
     sinks.drop_partition(v.spark, table, {"l_returnflag": "R"}, purge_path=folder)
     # read by path: neither the metastore nor the folder has the partition any more
     return v.spark.read.parquet(folder).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("line_cnt"))
+
+
+@query(
+    "serial_slices",
+    """SELECT l_returnflag, count(*) AS line_cnt, cast(sum(CASE l_returnflag WHEN 'R' THEN 2 WHEN 'A' THEN 3 ELSE 1 END * l_linenumber) as bigint) AS number_sum
+FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1""",
+)
+def _(v):
+    """Slices written from one version: disjoint ones are put on top of each other, a second write of the
+    same slice is refused and changes nothing, and a slice is taken out."""
+    line = v.table("lineitem").select("l_returnflag", "l_linenumber")
+    table = SliceTable(v.spark, sinks.staging_folder(v.spark), ["l_returnflag"])
+    for flag in ("A", "N", "R"):
+        table.replace(line.where(F.col("l_returnflag") == flag), {"l_returnflag": flag})
+    base = table.version()
+
+    def scaled(flag: str, factor: int) -> DataFrame:
+        own = table.read(base, [{"l_returnflag": flag}])
+        return own.withColumn("l_linenumber", F.col("l_linenumber") * factor)
+
+    for flag, factor in (("R", 2), ("A", 3)):
+        table.replace(scaled(flag, factor), {"l_returnflag": flag}, based_on=base, reads=())
+    try:
+        table.replace(scaled("R", 7), {"l_returnflag": "R"}, based_on=base)
+    except Conflict:
+        table.drop({"l_returnflag": "N"})
+    return table.read().groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("line_cnt"), F.sum("l_linenumber").cast("bigint").alias("number_sum")
+    )
+
+
+@query(
+    "refresh_and_keep",
+    """SELECT step, l_returnflag, count(*) AS line_cnt FROM lineitem, (VALUES ('refreshed'), ('view'), ('cached view'), ('cache'), ('disk')) t(step)
+WHERE step <> 'refreshed' OR l_linenumber > 2 GROUP BY 1, 2""",
+)
+def _(v):
+    """A table whose files another job has replaced, read anew after a refresh, and the ways to keep an
+    intermediate."""
+    line = v.table("lineitem").select("l_returnflag", "l_linenumber")
+    folder = sinks.staging_folder(v.spark)
+    name = f"kept_{folder.rsplit('-', 1)[-1]}"
+    line.write.parquet(f"{folder}/t")
+    v.spark.sql(f"CREATE TABLE {name} (l_returnflag STRING, l_linenumber INT) USING parquet LOCATION '{folder}/t'")
+    v.spark.table(name).count()
+    line.where("l_linenumber > 2").write.mode("overwrite").parquet(f"{folder}/t")
+    tables.refresh(v.spark, name)
+    parts = [tables.read_table(v.spark, name).withColumn("step", F.lit("refreshed"))]
+    for mode, step in enumerate(("view", "cached view", "cache", "disk")):
+        parts.append(sinks.manage_output(line, f"{name}_{mode}", mode).withColumn("step", F.lit(step)))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows.groupBy("step", "l_returnflag").agg(F.count(F.lit(1)).alias("line_cnt"))
+
+
+@query(
+    "suffix_drop",
+    "SELECT 'side_' || lower(r_name) AS table_name, r_regionkey, CASE WHEN r_name = 'ASIA' THEN 'kept' ELSE 'dropped' END AS state, true AS loaded_today FROM region",
+)
+def _(v):
+    """Side tables of a database, one a region, of which those with a suffix are dropped; their names as a
+    frame, and the time of the load."""
+    folder = sinks.staging_folder(v.spark)
+    db = f"side_{folder.rsplit('-', 1)[-1]}"
+    v.spark.sql(f"CREATE DATABASE {db}")
+    regions = v.table("region").select("r_name", "r_regionkey")
+    names = sorted(r["r_name"] for r in regions.collect())  # a handful of regions, one table each
+    for n in names:
+        own = regions.where(F.col("r_name") == n)
+        sinks.checkpoint_table(own, f"{db}.side_{n.lower().replace(' ', '_')}{'' if n == 'ASIA' else '_DEBUG'}", folder)
+    gone = sinks.drop_tables_with_suffix(v.spark, db, "_debug")
+    left = tables.names_frame(v.spark, [t.name for t in v.spark.catalog.listTables(db) if not t.isTemporary], "table_name")
+    states = left.withColumn("state", F.lit("kept")).unionByName(
+        tables.names_frame(v.spark, [n[: -len("_debug")] for n in gone], "table_name").withColumn("state", F.lit("dropped"))
+    )
+    keyed = regions.select(
+        F.concat(F.lit("side_"), F.lower("r_name")).alias("table_name"), F.translate(F.concat(F.lit("side_"), F.lower("r_name")), " ", "_").alias("k"), "r_regionkey"
+    )
+    today = F.abs(F.unix_timestamp(D.audit_ts()) - F.unix_timestamp(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()))) < 86400
+    return keyed.join(states.withColumnRenamed("table_name", "k"), "k").select("table_name", "r_regionkey", "state", today.alias("loaded_today"))

@@ -46,19 +46,20 @@ def overwrite_slice(df: DataFrame, path: str, slice_: Mapping[str, str]) -> None
 
 
 def checkpoint_table(df: DataFrame, name: str, location: str) -> DataFrame:
-    """Write an intermediate as a Parquet table at a location and read it back.
+    """Write an intermediate as Parquet below a location, let the name point to it and read it back.
 
-    The rows are written to a new folder under a name of their own, and the table is
-    swapped after that: ``df`` may read the table it replaces, and a write that fails
-    leaves it as it was. The files of the table before stay for readers that still use
-    them; ``delete_folder`` removes them.
+    The name is a view of the newest snapshot's folder, and the metastore replaces a view in one
+    step: a reader finds the old snapshot or the new one, never none. ``df`` may read the table it
+    replaces, and a write that fails leaves it as it was. Columns may change. The files of the
+    snapshots before stay for readers that still use them; ``delete_folder`` removes them. A plain
+    table of that name, as earlier versions of this library left them, is dropped first.
     """
     spark = df.sparkSession
-    table = name.split(".")[-1].upper()
-    fresh = f"{name}_{uuid4().hex[:8]}"
-    df.write.format("parquet").option("path", f"{location}/{table}-{uuid4().hex[:8]}").saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    folder = f"{location.rstrip('/')}/{name.split('.')[-1].upper()}-{uuid4().hex[:8]}"
+    df.write.parquet(folder)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
     return spark.table(name)
 
 
@@ -79,15 +80,11 @@ def manage_output(df: DataFrame, name: str, mode: int = 0) -> DataFrame:
 
 
 def drop_tables_with_suffix(spark: SparkSession, db: str, suffix: str) -> list[str]:
-    """Drop the tables of a database whose name ends with ``suffix`` in any case."""
-    gone = [
-        t.name
-        for t in spark.catalog.listTables(db)
-        if not t.isTemporary and t.name.upper().endswith(suffix.upper())
-    ]
+    """Drop the tables of a database, side tables included, whose name ends with ``suffix`` in any case."""
+    gone = [t for t in spark.catalog.listTables(db) if not t.isTemporary and t.name.upper().endswith(suffix.upper())]
     for t in gone:
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{t}")
-    return gone
+        spark.sql(f"DROP {'VIEW' if t.tableType == 'VIEW' else 'TABLE'} IF EXISTS {db}.{t.name}")
+    return [t.name for t in gone]
 
 
 def _spec(spec: Mapping[str, str]) -> str:
