@@ -38,7 +38,10 @@ BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Characters whose terms are counted together before they leave the task.
 AT_ONCE = 8_000_000
 #: Sources a tile and terms a block of the dense comparison.
-TILE, BLOCK = 128, 4096
+TILE, BLOCK = 128, 512
+#: Bits of the sieve that keeps most terms without a chance from leaving the tasks; 4 MB at any size of
+#: the corpus. What it lets through by mistake is dropped by a join.
+SIEVE = 1 << 25
 
 COUNTS = "lang string, source string, digest bigint, n bigint, docs bigint"
 
@@ -62,9 +65,25 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _digests(terms: pa.Array, bits: int) -> np.ndarray:
     import xxhash
 
-    mask = (1 << bits) - 1
-    made = np.array([xxhash.xxh3_64_intdigest(x.as_buffer()) & mask for x in terms.cast(pa.binary())], np.uint64)
-    return made.view(np.int64)
+    digest, raw = xxhash.xxh3_64_intdigest, memoryview(terms.buffers()[2] or b"")
+    places = np.frombuffer(terms.buffers()[1], "<i4")[terms.offset : terms.offset + len(terms) + 1].tolist()
+    made = np.array([digest(raw[a:b]) for a, b in zip(places, places[1:])], np.uint64)
+    return (made & np.uint64((1 << bits) - 1)).view(np.int64)
+
+
+def sieve(digests: DataFrame) -> bytes:
+    """Bitmap of the lower bits of the digests: at most ``SIEVE`` / 64 numbers reach the driver."""
+    place = F.col("digest").bitwiseAND(SIEVE - 1)
+    words = digests.groupBy(F.shiftright(place, 6).alias("word"))
+    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(digest & 63 as int))")).alias("bits")).toPandas()
+    made = np.zeros(SIEVE // 64, np.int64)
+    made[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return made.tobytes()
+
+
+def _passes(own: bytes, digests: np.ndarray) -> np.ndarray:
+    place = digests & (SIEVE - 1)
+    return (np.frombuffer(own, np.int64)[place >> 6] >> (place & 63)) & 1 == 1
 
 
 def _sums(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
@@ -75,9 +94,10 @@ def _sums(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     return [keys[first], *(np.add.reduceat(x[order], first) if len(first) else x[:0] for x in values)]
 
 
-def occurrences(docs: DataFrame, by_source: bool, strings: bool, bits: int = 64) -> DataFrame:
+def occurrences(docs: DataFrame, by_source: bool, strings: bool, bits: int = 64, through: bytes | None = None) -> DataFrame:
     """Occurrences (``n``) and documents (``docs``) of each term in some texts of one language, or of
-    one group if ``by_source``; with ``strings``, the ``term`` itself as well. Several rows a term."""
+    one group if ``by_source``; with ``strings``, the ``term`` itself as well. Several rows a term.
+    Terms that the sieve ``through`` stops are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
@@ -88,7 +108,9 @@ def occurrences(docs: DataFrame, by_source: bool, strings: bool, bits: int = 64)
                 continue
             code = coded.indices.to_numpy().astype(np.int64)
             of_row = pc.list_parent_indices(rows).to_numpy().astype(np.int64)
-            real = pc.greater(pc.binary_length(terms), 0).to_numpy(zero_copy_only=False)[code]
+            digests = _digests(terms, bits)
+            real = pc.greater(pc.binary_length(terms), 0).to_numpy(zero_copy_only=False)
+            real = (real if through is None else real & _passes(through, digests))[code]
             pairs = np.sort(of_row[real] * len(terms) + code[real])  # a document's occurrences of a term
             first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if len(pairs) else pairs
             n = np.diff(np.append(first, len(pairs)))
@@ -104,7 +126,7 @@ def occurrences(docs: DataFrame, by_source: bool, strings: bool, bits: int = 64)
             columns = [
                 langs.dictionary.take(pa.array(lang)),
                 sources.dictionary.take(pa.array(source)) if by_source else pa.nulls(len(keys), pa.string()),
-                pa.array(_digests(terms, bits)[code]),
+                pa.array(digests[code]),
                 pa.array(n),
                 pa.array(count),
             ]
@@ -115,28 +137,24 @@ def occurrences(docs: DataFrame, by_source: bool, strings: bool, bits: int = 64)
     return docs.mapInArrow(run, COUNTS + ", term string" * strings)
 
 
-def _same(by: list[str]) -> list[Column]:
-    return [F.col(x) for x in by]
-
-
 def kept_terms(docs: DataFrame, least: int, bits: int) -> tuple[DataFrame, DataFrame]:
     """(lang, source, digest, split, n) of the kept terms that a group has, and the strings (lang,
     digest, least, most) of the digests; both stored."""
     by_lang = occurrences(docs, False, False, bits).groupBy("lang", "digest").agg(F.sum("docs").alias("docs"))
     likely = stage(by_lang.where(F.col("docs") >= least).select("lang", "digest"), "likely-terms")
-    seen = occurrences(docs, False, True, bits).join(likely, ["lang", "digest"], "left_semi")
-    distinct = seen.select("lang", "digest", "term").distinct()
+    own = sieve(likely)
+    distinct = occurrences(docs, False, True, bits, own).select("lang", "digest", "term").distinct()
     strings = distinct.groupBy("lang", "digest").agg(F.min("term").alias("least"), F.max("term").alias("most"))
-    strings = stage(strings, "term-strings")
+    strings = stage(strings.join(likely, ["lang", "digest"], "left_semi"), "term-strings")
     shared = strings.where("least <> most").select("lang", "digest")
     alone = strings.where("least = most").select("lang", "digest")
 
-    own = occurrences(docs, True, False, bits).join(alone, ["lang", "digest"], "left_semi")
-    counts = own.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n")).withColumn("split", F.lit(""))
+    counts = occurrences(docs, True, False, bits, own).groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"))
+    counts = counts.join(alone, ["lang", "digest"], "left_semi").withColumn("split", F.lit(""))
     if not shared.isEmpty():
-        again = occurrences(docs, True, True, bits).join(shared, ["lang", "digest"], "left_semi")
+        again = occurrences(docs, True, True, bits, sieve(shared))
         again = again.groupBy("lang", "source", "digest", F.col("term").alias("split"))
-        again = again.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        again = again.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).join(shared, ["lang", "digest"], "left_semi")
         whole = Window.partitionBy("lang", "digest", "split")
         again = again.withColumn("docs", F.sum("docs").over(whole)).where(F.col("docs") >= least)
         counts = counts.unionByName(again.drop("docs"))

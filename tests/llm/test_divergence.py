@@ -83,8 +83,8 @@ def test_without_kept_terms(frame, docs):
 
 def test_more_sources_than_a_tile_and_more_terms_than_a_block(spark):
     choose = random.Random(6)
-    words = ["".join(choose.choices("abcdefgh", k=7)) for _ in range(6000)]
-    rows = [(" ".join(choose.choices(words, k=60)), "en", f"s{choose.randint(0, 150)}") for _ in range(2500)]
+    words = ["".join(choose.choices("abcdefgh", k=7)) for _ in range(900)]
+    rows = [(" ".join(choose.choices(words, k=30)), "en", f"s{choose.randint(0, 150)}") for _ in range(1500)]
     made = spark.createDataFrame([(0, *x, "a", "b", "c", "d") for x in rows], SCHEMA)
     assert rows_of(divergence.audit(made, least=2, top=3)) == plain(rows, 2, 3)
 
