@@ -21,33 +21,39 @@ ORDER = [0, *range(2, 16)]
 BLOCK = 1024
 
 
+def _widths(values: np.ndarray) -> np.ndarray:
+    """Bits that each value needs."""
+    if values.max() >> np.uint64(53):  # beyond what a float holds
+        upper = values >> np.uint64(32)
+        return np.where(upper > 0, 32 + np.frexp(upper)[1], np.frexp(values & np.uint64(0xFFFFFFFF))[1]).astype(np.uint8)
+    return np.frexp(values.astype(np.float32 if not values.max() >> np.uint64(24) else np.float64))[1].astype(np.uint8)
+
+
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, offset of each block's first word, upper bits of the escaped values)."""
     values = np.asarray(values, np.uint64)
     n = len(values)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.uint8)
-    if values.max() < 1 << 32:
-        values = values.astype(np.uint32)
     left = np.tile(np.arange(BLOCK, 0, -1, dtype=np.int16), -(-n // BLOCK))[:n]  # to the end of the block
     if n % BLOCK:
         left[n // BLOCK * BLOCK :] -= BLOCK - n % BLOCK
+    # widest[k][i]: bits of the widest of the 2^k values from i on
+    widest = [_widths(values)]
+    while 2 << len(widest) - 1 <= min(n, int(COUNT.max())):
+        step = 1 << len(widest) - 1
+        widest.append(np.maximum(widest[-1][:-step], widest[-1][step:]))
     selector = np.full(n, ESCAPE, np.uint8)
     for s in ORDER[::-1]:  # the last selector whose whole word fits holds the most values
         c = int(COUNT[s])
-        if BITS[s] >= 32 and values.dtype == np.uint32:
-            wide = np.zeros(0, np.int64)
-        else:
-            wide = np.flatnonzero(values >> values.dtype.type(BITS[s]))
-        from_ = np.append(-1, wide) + 1
-        to = np.append(wide, n) - c + 1  # starts in [from_, to) meet no wide value
-        run = to > from_
-        if run.any():
-            edge = np.zeros(n + 1, np.int8)
-            edge[from_[run]] += 1
-            edge[to[run]] -= 1
-            fits = np.cumsum(edge[:n], dtype=np.int8).view(bool) & (left >= c)
-            selector[fits] = s
+        if c > n:
+            continue
+        k = c.bit_length() - 1
+        own = widest[k][: n - c + 1]
+        if c > 1 << k:
+            own = np.maximum(own, widest[k][c - (1 << k) : n - (1 << k) + 1])
+        fits = (own <= BITS[s]) & (left[: n - c + 1] >= c)
+        selector[: n - c + 1][fits] = s
     count = COUNT[selector]
     # all blocks take their next word at the same time
     cursor = np.arange(0, n, BLOCK)
