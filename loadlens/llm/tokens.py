@@ -1,13 +1,15 @@
 """Token ids of whole texts by a tokenizer file of the public ``tokenizers`` library.
 
 For a byte-level file the texts are cut by ``pretoken`` and only pieces not met before go through
-the library's merges; the ids of the others come from a cache of bounded size in each worker. Files
-with any other normaliser or pre-tokeniser are handed whole texts.
+the library's merges; the ids of the others come from a cache of bounded size in each worker. Strings
+of the file's added tokens are single ids, as the library has them. Files with any other normaliser
+or pre-tokeniser, or with added tokens that strip or want whole words, are handed whole texts.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -58,15 +60,18 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         kind = json.loads(vocabulary)
-        before = kind.get("pre_tokenizer") or {}
+        before, added = kind.get("pre_tokenizer") or {}, kind.get("added_tokens") or []
         self.plain = (
             before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
             and not kind.get("normalizer")
+            and not any(x.get("lstrip") or x.get("rstrip") or x.get("single_word") for x in added)
         )
+        self.added = {x["content"]: np.array([x["id"]], "<u4").tobytes() for x in added}
+        longest = sorted(self.added, key=len, reverse=True)  # where several start at one place
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if added else None
         self.pieces = _Pieces(self.tokenizer.model)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
@@ -75,6 +80,16 @@ class Encoder:
             for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
                 yield np.array(x.ids, "<u4").tobytes()
             return
+        if self.cuts is None or not any(self.cuts.search(x) for x in texts):
+            yield from self._ordinary(texts)
+            return
+        parts = [self.cuts.split(x) for x in texts]  # ordinary text and added tokens by turns
+        made = self._ordinary([x for own in parts for x in own[::2]])
+        for own in parts:
+            yield b"".join(self.added[x] if k % 2 else next(made) for k, x in enumerate(own))
+
+    def _ordinary(self, texts: list[str]) -> Iterator[bytes]:
+        """``encode`` of texts without added tokens."""
         for _, _, pieces, bounds in pretoken.slices(texts):
             if len(self.pieces) > CACHED:
                 self.pieces.clear()

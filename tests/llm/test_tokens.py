@@ -179,3 +179,19 @@ def test_sequences_hold_every_id_once(documents, odd, nothing, capacity):
         ids = {r["sequence_id"]: ids_of(r["ids"]) for r in packing.sequences(packed).collect()}
         assert sorted(len(x) for x in ids.values()) == sorted(sum(r["length"] for r in p) for p in by.values())
     assert packing.pack_documents(nothing, VOCABULARY).count() == 0
+
+
+def test_added_tokens_are_single_ids():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from loadlens.llm import tokens as T
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    own = T.Encoder(T.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json")))
+    end = "<|endoftext|>"
+    texts = ["plain  text", f"a {end} b", end, f"{end}{end}", f"x  {end}  !{end}", f"<|end{end}oftext|>", "", "<|endoftext"]
+    assert own.plain
+    got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)]
+    assert got == [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert got[1] == [64, 220, 50256, 275]
