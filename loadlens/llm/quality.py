@@ -44,13 +44,16 @@ def _left_of(text: Column, others: str) -> Column:
     return F.length(F.regexp_replace(text, others, "")).cast("bigint")
 
 
-def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    n_lines, n_exclaims, n_upper, base_failed."""
+    n_lines, n_exclaims, n_upper, base_failed; with ``whole``, all its columns as ``row`` besides."""
+    row = [F.struct("*").alias("row")] if whole else []
+    also = ["row"] if whole else []
     text = F.col("text")
     out = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        *row,
     ).withColumn("trimmed", F.btrim(text, F.lit(BLANKS)))
     out = out.select(
         "doc_id",
@@ -59,6 +62,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         _left_of(text, "[^#*$%&|<>]+").alias("n_symbols"),
         _left_of(text, "[^!]+").alias("n_exclaims"),
         _left_of(text, r"[^\p{Lu}]+").alias("n_upper"),
+        *also,
     )
     out = out.select(
         "doc_id",
@@ -74,6 +78,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             "CASE WHEN size(words) < 3 THEN cast(array() AS array<bigint>) ELSE "
             "transform(sequence(0, size(words) - 3), i -> xxhash64(words[i], words[i + 1], words[i + 2])) END"
         ).alias("windows"),
+        *also,
     )
     out = out.withColumn(
         "placed",
@@ -103,6 +108,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "n_lines", "n_exclaims", "n_upper",
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
+        *also,
     )
 
 
@@ -220,3 +226,10 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """``statistics`` with ``kept``: false under the base rules or the learned list."""
     stats = stage(statistics(docs, id_col, text_col), "statistics")
     return stats.withColumn("kept", ~F.col("base_failed") & learn(stats, labels).verdict())
+
+
+def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns. Each row has a verdict of its
+    own, whatever its id: rows without one and rows that share one are judged by their texts."""
+    stats = stage(statistics(docs, id_col, text_col, whole=True), "judged-rows")
+    return stats.where(~F.col("base_failed") & learn(stats, labels).verdict()).select("row.*")

@@ -16,10 +16,12 @@ the rules say so or, where they say nothing, if it is assigned to a telling name
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -109,6 +111,19 @@ def features(value: str, before: str, after: str, source: str, words: frozenset[
     ]
 
 
+def _described(text: str, source: str, words: frozenset[str]) -> list[tuple[int, int, str, list[float], int | None]]:
+    """(start, stop, value, features, rule) of the candidates of a text."""
+    out = []
+    for start, stop, kind in _spans(text):
+        value = text[start:stop]
+        if kind == "named":  # marks that end a sentence are not part of it
+            value = value.rstrip(".,;)")
+            stop = start + len(value)
+        described = features(value, text[max(0, start - 24) : start], text[stop : stop + 24], source, words)
+        out.append((start, stop, value, described, _rule(value, kind == "named")))
+    return out
+
+
 def _rule(value: str, named: bool) -> int | None:
     """What the rules are sure of: 1 a secret, 0 none, else nothing."""
     if _FORMAT.match(value):
@@ -127,7 +142,8 @@ def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY)
 
 
 def candidates(docs: DataFrame, words: frozenset[str], id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """(doc_id, start, stop, value, features, rule) in code points, end exclusive."""
+    """(doc_id, digest, start, stop, value, features, rule) in code points, end exclusive; ``digest`` is
+    the SHA-256 of the text."""
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
@@ -138,19 +154,15 @@ def candidates(docs: DataFrame, words: frozenset[str], id_col: str = "doc_id", t
             for ids, texts in some([batch]):
                 rows = []
                 for doc_id, text in zip(ids, texts):
-                    for start, stop, kind in _spans(text):
-                        value = text[start:stop]
-                        if kind == "named":  # marks that end a sentence are not part of it
-                            value = value.rstrip(".,;)")
-                            stop = start + len(value)
-                        described = features(value, text[max(0, start - 24) : start], text[stop : stop + 24], sources[at], known)
-                        rows.append((doc_id, start, stop, value, described, _rule(value, kind == "named")))
+                    own = _described(text, sources[at], known)
+                    digest = hashlib.sha256(text.encode()).hexdigest() if own else None
+                    rows += [(doc_id, digest, *x) for x in own]
                     at += 1
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.float64()), pa.int32())
-                columns = zip(*rows) if rows else [[]] * 6
+                types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.float64()), pa.int32())
+                columns = zip(*rows) if rows else [[]] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    schema = "doc_id bigint, start bigint, stop bigint, value string, features array<double>, rule int"
+    schema = "doc_id bigint, digest string, start bigint, stop bigint, value string, features array<double>, rule int"
     names = [x.split()[0] for x in schema.split(", ")]
     return docs.select(F.col(id_col).cast("bigint"), text_of(text_col), path).mapInArrow(run, schema)
 
@@ -194,24 +206,96 @@ def judge(found: DataFrame, model: RandomForestClassificationModel | None) -> Da
     return out.withColumn("secret", F.col("probability") >= 0.5).drop("vector", "chances", "decision", "votes")
 
 
+def clean(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
+    """``docs`` with all secrets masked, by a forest trained on the candidates of ``docs``."""
+    words = dictionary(docs, text_col)
+    found = stage(candidates(docs, words, id_col, text_col, path_col), "candidates")
+    return mask(docs, words, train(found, rule_labels(found) if labels is None else labels), text_col, path_col)
+
+
 def scan(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """(doc_id, start, stop, value, probability, secret) of every candidate."""
+    """(doc_id, digest, start, stop, value, probability, secret) of every candidate."""
     found = stage(candidates(docs, dictionary(docs, text_col), id_col, text_col, path_col), "candidates")
     model = train(found, rule_labels(found) if labels is None else labels)
-    return judge(found, model).select("doc_id", "start", "stop", "value", "probability", "secret")
+    return judge(found, model).select("doc_id", "digest", "start", "stop", "value", "probability", "secret")
+
+
+def forest(model: RandomForestClassificationModel) -> list[tuple[np.ndarray, ...]]:
+    """Of each tree the feature and the threshold, the nodes to the left and to the right (for leaves
+    themselves) and the share of secrets, by node: a fixed size, for use inside tasks."""
+    trees = []
+    for tree in model.trees:
+        table, waiting = [], [tree._call_java("rootNode")]
+        while waiting:  # breadth first: the children of a node get the next numbers
+            node, k = waiting.pop(0), len(table)
+            stats = list(node.impurityStats().stats())
+            row = [0, 0.0, k, k, stats[1] / sum(stats)]
+            if node.getClass().getSimpleName() == "InternalNode":
+                row[:2] = node.split().featureIndex(), node.split().threshold()
+                row[2:4] = k + len(waiting) + 1, k + len(waiting) + 2
+                waiting += [node.leftChild(), node.rightChild()]
+            table.append(row)
+        trees.append(tuple(np.array(x) for x in zip(*table)))
+    return trees
+
+
+def chances(trees: list[tuple[np.ndarray, ...]] | None, described: np.ndarray, rules: list[int | None]) -> np.ndarray:
+    """``probability`` of ``judge``, computed from the rows of features."""
+    if trees is None:
+        telling, assigned = (described[:, FEATURES.index(x)] for x in ("telling_before", "assigned"))
+        fixed = 0.4 * telling + 0.3 * assigned
+        return np.round([f if r is None else float(r) for f, r in zip(fixed, rules)], 6)
+    votes = np.zeros(len(described))
+    for feature, threshold, left, right, share in trees:
+        at = np.zeros(len(described), np.int64)
+        while True:
+            goes_left = described[np.arange(len(at)), feature[at]] <= threshold[at]
+            to = np.where(goes_left, left[at], right[at])
+            if (to == at).all():
+                break
+            at = to
+        votes += share[at]
+    return np.round(votes / len(trees), 6)
+
+
+def mask(docs: DataFrame, words: frozenset[str], model: RandomForestClassificationModel | None, text_col: str = "text", path_col: str | None = "source") -> DataFrame:
+    """``docs`` with each secret replaced by ``MASK``, found and judged as ``candidates`` and ``judge`` do
+    it, in one pass and without a join: ids are not read, and every row keeps its other columns. NULL
+    texts stay NULL."""
+    trees = None if model is None else forest(model)
+    place, source = docs.columns.index(text_col), docs.columns.index(path_col) if path_col else None
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            texts = batch.column(place).to_pylist()
+            sources = [""] * len(texts) if source is None else batch.column(source).cast(pa.string()).to_pylist()
+            found = [(k, *x) for k, text in enumerate(texts) if text for x in _described(text, sources[k] or "", known)]
+            if found:
+                described = np.array([x[4] for x in found])
+                secret = chances(trees, described, [x[5] for x in found]) >= 0.5
+                for own, (k, start, stop, *_) in list(zip(secret, found))[::-1]:  # from the end: places stay
+                    if own:
+                        texts[k] = texts[k][:start] + MASK + texts[k][stop:]
+            yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, kinds)
 
 
 def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with each secret replaced by ``MASK``. Rows that share an id must share their text."""
-    spans = found.where("secret").groupBy(F.col("doc_id").alias("__id")).agg(
-        F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("__spans")
+    """``docs`` with each secret of ``found`` (of ``scan``) replaced by ``MASK``. Findings belong to an id,
+    which may be NULL, and a text, so rows that share an id are told apart by their texts."""
+    spans = found.where("secret").groupBy(F.col("doc_id").alias("id"), "digest").agg(
+        F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans")
     )
-    rows = docs.join(spans, docs[id_col].cast("bigint") == F.col("__id"), "left")
-    text = f"`{text_col}`"
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("own"), text_of(text_col).alias("text"))
+    rows = rows.join(spans, F.col("own").eqNullSafe(F.col("id")) & (F.sha2(F.col("text").cast("binary"), 256) == F.col("digest")), "left")
     masked = F.expr(
-        "CASE WHEN __spans IS NULL THEN " + text + " ELSE aggregate(__spans, named_struct('at', 0L, 'out', ''), "
+        "CASE WHEN spans IS NULL THEN row.`" + text_col + "` ELSE aggregate(spans, named_struct('at', 0L, 'out', ''), "
         "(s, x) -> named_struct('at', x.stop, 'out', concat(s.out, "
-        f"substring({text}, cast(s.at + 1 AS int), cast(x.start - s.at AS int)), '{MASK}')), "
-        f"s -> concat(s.out, substring({text}, cast(s.at + 1 AS int)))) END"
+        f"substring(text, cast(s.at + 1 AS int), cast(x.start - s.at AS int)), '{MASK}')), "
+        "s -> concat(s.out, substring(text, cast(s.at + 1 AS int)))) END"
     )
-    return rows.withColumn(text_col, masked).drop("__id", "__spans")
+    return rows.select(*[masked.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -3,12 +3,25 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Folders that ``new_folder`` has given out, for ``clean``.
-_made: list[str] = []
+#: Folders that ``new_folder`` has given out and on whose behalf, for ``clean``.
+_made: list[tuple[str, str | None]] = []
+_owner: list[str | None] = [None]
+
+
+@contextmanager
+def owned_by(owner: str) -> Iterator[None]:
+    """Folders given out inside belong to ``owner``, who can delete them apart from the others."""
+    _owner.append(owner)
+    try:
+        yield
+    finally:
+        _owner.pop()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,7 +40,7 @@ def find_package(spark: SparkSession) -> None:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    _made.append((path, _owner[-1]))
     return path
 
 
@@ -39,10 +52,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clean(spark: SparkSession) -> None:
-    """Delete the folders that this process has made, once no result reads them any more. Uses the
-    JVM's file system API, since Spark has none of its own; not available over Spark Connect."""
-    jvm = spark.sparkContext._jvm
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder. Uses the JVM's file system API, since Spark has none of its own; not available
+    over Spark Connect."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clean(spark: SparkSession, owner: str | None = None) -> None:
+    """Delete the folders that this process has made, or those of ``owner``, once no result reads them
+    any more."""
+    for path, whose in [x for x in _made if owner is None or x[1] == owner]:
+        delete(spark, path)
+        _made.remove((path, whose))

@@ -109,3 +109,44 @@ def test_named_words_and_numbers_are_no_sure_negatives(make):
     assert {r["value"]: r["secret"] for r in S.rule_labels(found).collect()} == {"correcthorsestapler": 0}
     secret = {(r["doc_id"], r["value"]) for r in S.scan(make(texts)).where("secret").collect()}
     assert secret == {(0, "correcthorsebattery"), (1, "8274619302")}
+
+
+def test_masks_are_judged_as_findings_are(spark, make):
+    """The forest inside the tasks has the chances of the one in Spark, and masks the same spans."""
+    docs = make([t for t, _ in sample(4, 150)])
+    words = S.dictionary(docs)
+    found = S.candidates(docs, words)
+    model = S.train(found, S.rule_labels(found))
+    rows = S.judge(found, model).collect()
+    got = S.chances(S.forest(model), S.np.array([r["features"] for r in rows]), [r["rule"] for r in rows])
+    assert len(rows) > 100 and abs(got - [r["probability"] for r in rows]).max() < 2e-6
+    one, two = S.mask(docs, words, model), S.redact(docs, S.judge(found, model))
+    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+
+
+def plain_spans(text):
+    """The rule of ``_spans`` letter by letter: each kind takes what the kinds before have left."""
+    owner = [None] * len(text)
+    out = []
+    for kind, (pattern, least) in S._KINDS.items():
+        taken = owner[:]
+        for found in pattern.finditer(text):
+            a, b = found.span("value")
+            parts, at = [], a
+            for k in range(a, b + 1):
+                if k == b or taken[k] is not None:
+                    if k - at >= least:
+                        parts.append((at, k))
+                    at = k + 1
+            for x, y in parts:
+                out.append((x, y, kind))
+                owner[x:y] = [kind] * (y - x)
+    return sorted(out)
+
+
+def test_spans_against_a_plain_version():
+    rng = random.Random(11)
+    parts = ["password=", "token: ", "AKIA" + "B" * 16, "abc123" * 4, "x", " ", "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----", "/", "==", "\"", "secret", "=", "0aZ_" * 5]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 9)))
+        assert S._spans(text) == plain_spans(text), text
