@@ -187,21 +187,25 @@ def report(spans: DataFrame) -> DataFrame:
     )
 
 
-def sanitise(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (ids must be unique) with each span masked; of overlapping spans the first, and of
-    those the longest, gives the mask."""
+def sanitise(docs: DataFrame, spans: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with each span masked; of overlapping spans the first, and of those the longest, gives
+    the mask. Without ``spans``, those of ``find``, for rows numbered on their own: ids may repeat or be
+    NULL. Given ``spans`` (of ``find``) are matched by id, so each row's id must be its own and not
+    NULL, else this raises."""
     own = F.array_sort(
         F.transform("spans", lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("end"), x["kind"].alias("kind")))
     )
     masks = F.create_map(*(F.lit(x) for pair in MASKS.items() for x in pair))
-    text = f"`{text_col}`"
-    rows = docs.join(spans.select(F.col("doc_id").alias("__id"), own.alias("__spans")), F.col(id_col) == F.col("__id"), "left")
-    rows = rows.withColumn("__masks", masks).withColumn(
-        "__out",
-        F.expr(
-            "aggregate(coalesce(__spans, array()), named_struct('at', 0L, 'out', ''), (s, x) -> CASE WHEN x.start < s.at THEN s ELSE "
-            f"named_struct('at', -x.end, 'out', concat(s.out, substring({text}, cast(s.at + 1 AS int), cast(x.start - s.at AS int)), __masks[x.kind])) END, "
-            f"s -> concat(s.out, substring({text}, cast(s.at + 1 AS int))))"
-        ),
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), F.col(id_col).cast("bigint").alias("id"))
+    if spans is None:
+        rows = stage(rows.withColumn("id", F.monotonically_increasing_id()), "numbered")
+        spans = find(rows, id_col="id")
+    elif not spans.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
+        raise ValueError("ids are NULL or repeat: call without spans")
+    rows = rows.join(spans.select(F.col("doc_id").alias("id"), own.alias("spans")), "id", "left").withColumn("masks", masks)
+    out = F.expr(
+        "aggregate(coalesce(spans, array()), named_struct('at', 0L, 'out', ''), (s, x) -> CASE WHEN x.start < s.at THEN s ELSE "
+        "named_struct('at', -x.end, 'out', concat(s.out, substring(text, cast(s.at + 1 AS int), cast(x.start - s.at AS int)), masks[x.kind])) END, "
+        "s -> concat(s.out, substring(text, cast(s.at + 1 AS int))))"
     )
-    return rows.withColumn(text_col, F.col("__out")).drop("__id", "__spans", "__masks", "__out")
+    return rows.withColumn("text", out).select(*[F.col("text" if c == text_col else f"row.`{c}`").alias(c) for c in docs.columns])

@@ -3,8 +3,10 @@ from __future__ import annotations
 import hashlib
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from loadlens.llm import pii
 
@@ -86,3 +88,14 @@ def test_context_goes_on_behind_other_matches(make):
     terms = {(r["doc_id"], s["start"], s["end"]) for r in pii.find(make(texts)).collect() for s in r["spans"] if s["kind"] == "term"}
     assert {(60, 0, 11), (61, texts[61].index("zanz"), texts[61].index("zanz") + 11)} <= terms
     assert {(62, 0, 12), (63, texts[63].index("quill"), texts[63].index("quill") + 12)} <= terms
+
+
+def test_sanitise_rows_without_ids_and_with_shared_ones(make):
+    docs = make([(None, "to ab@ex.org"), (1, "plain text here"), (1, "cd@ex.org is it"), (2, None), (2, None), (None, "to ab@ex.org")])
+    docs = docs.withColumn("__id", F.lit(3)).withColumn("__out", F.lit("x"))
+    out = pii.sanitise(docs)
+    assert out.dtypes == docs.dtypes
+    got = sorted((str(r["doc_id"]), str(r["text"])) for r in out.collect())
+    assert got == sorted([("None", "to [EMAIL]")] * 2 + [("1", "plain text here"), ("1", "[EMAIL] is it"), ("2", "None"), ("2", "None")])
+    with pytest.raises(ValueError):
+        pii.sanitise(docs, pii.find(docs))
