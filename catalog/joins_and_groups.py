@@ -623,3 +623,19 @@ def _(v):
     left, right = staged(v.master_left), staged(other.drop("p_size"))
     report = Q.reconcile_by_digest(left, right, ["item_id", "unit"], COMPARED, carry=["box_name"], numeric=True)
     return report.select("item_id", "unit", "column_name", "left_val", "right_val", "box_name")
+
+
+@query(
+    "sized_lookups",
+    """SELECT o_orderkey, n_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+WHERE c_acctbal < 0 AND n_regionkey < 3""",
+)
+def _(v):
+    """Orders of some customers: the customers count as too large to be sent, so their keys sift the orders
+    before the shuffle; the nations are sent."""
+    owing = v.table("customer").where("c_acctbal < 0").select("c_custkey", "c_nationkey", "c_mktsegment")
+    orders = v.table("orders").select("o_orderkey", "o_custkey")
+    rows = J.small_lookup_join(orders, owing, {"o_custkey": "c_custkey"}, "inner", most_bytes=1000)
+    nations = v.table("nation").where("n_regionkey < 3").select("n_nationkey", "n_name")
+    named = J.small_lookup_join(rows, nations, {"c_nationkey": "n_nationkey"}, "inner")
+    return named.select("o_orderkey", "n_name", "c_mktsegment")

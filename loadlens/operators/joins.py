@@ -11,8 +11,8 @@ apart, both with the result of a plain join:
   stored table: ``lookup_join`` cuts a key above ``rows_per_slot`` rows into slots on the
   left and copies its few lookup rows once per slot.
 
-Nothing is broadcast by hand but the lookups of ``small_lookup_join``, whose rows are counted
-first; for all else, Spark picks a broadcast join itself when the size it knows or has
+Nothing is broadcast by hand but the lookups of ``small_lookup_join``, whose bytes are summed up
+first, and the bitmap of ``key_filter``, whose size is fixed; for all else, Spark picks a broadcast join itself when the size it knows or has
 measured is under its threshold.
 """
 
@@ -125,18 +125,66 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null
     return left.join(right, _same(keys, right_keys, True), how).drop(*right_keys)
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in memory, roughly: its texts, and 8 and a word for each other column."""
+    parts = [
+        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 16
+        if f.dataType.typeName() in ("string", "binary")
+        else F.coalesce(F.octet_length(F.to_json(F.struct(f"`{f.name}`"))), F.lit(0)) + 16
+        if f.dataType.typeName() in ("array", "map", "struct")
+        else F.lit(16)
+        for f in df.schema
+    ]
+    return reduce(lambda a, b: a + b, parts, F.lit(8)).cast("bigint")
+
+
+def key_filter(left: DataFrame, right: DataFrame, on: On, *, bits: int = 1 << 25) -> DataFrame:
+    """Left rows whose key may be in ``right``: all that have a partner, and few others.
+
+    A Bloom filter with one hash, as a table of at most ``bits`` / 64 numbers that every task
+    gets (8 MB by default, whatever the size of ``right``). ``bits`` is a power of two. Rows
+    with a NULL key are dropped. A filter that is nearly full lets all rows through.
+    """
+    place = lambda cols: F.xxhash64(*[F.col(c) for c in cols]).bitwiseAND(F.lit(bits - 1))
+    bit = F.expr("shiftleft(1L, cast(_place & 63 as int))")
+    pairs = _pairs(on)
+    keys, names = [l for l, _ in pairs], [r for _, r in pairs]
+    words = right.select(*names).dropna().select(place(names).alias("_place"))
+    words = words.groupBy(F.shiftright("_place", 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    marked = left.dropna(subset=keys).withColumn("_place", place(keys))
+    found = (F.shiftright("_place", 6) == F.col("_word")) & (F.col("_bits").bitwiseAND(bit) != 0)
+    return marked.join(F.broadcast(words), found, "left_semi").drop("_place")
+
+
 def small_lookup_join(
-    left: DataFrame, right: DataFrame, on: On, how: str = "left", *, most_rows: int = 100_000
+    left: DataFrame,
+    right: DataFrame,
+    on: On,
+    how: str = "left",
+    *,
+    most_bytes: int = 64 << 20,
+    most_rows: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Join with a lookup that is sent to every task: one pass over ``left``, no shuffle.
+    """Join with a lookup that is sent to every task if it is small: one pass over ``left``, no shuffle.
 
-    The lookup's rows are counted first, up to the limit; beyond it this raises, and
-    ``lookup_join`` is the join to use.
+    The lookup is run once and stored, and the bytes of its rows are summed up. Up to
+    ``most_bytes`` it is broadcast. Beyond, ``lookup_join`` joins it (with ``counts``, hot keys
+    are spread there); for inner and left_semi, ``key_filter`` keeps left rows without a
+    partner out of the shuffle. Both ways have the same rows. ``most_rows`` is for lookups
+    that must not grow: more rows than that raise.
     """
-    if right.limit(most_rows + 1).count() > most_rows:
+    from loadlens.sources.sinks import staged
+
+    if most_rows is not None and right.limit(most_rows + 1).count() > most_rows:
         raise ValueError(f"the lookup has more than {most_rows} rows; use lookup_join")
-    keys, right = _aligned(left, right, on)
-    return left.join(F.broadcast(right), keys, how)
+    right = staged(right)
+    if (right.agg(F.sum(row_bytes(right))).first()[0] or 0) <= most_bytes:
+        keys, right = _aligned(left, right, on)
+        return left.join(F.broadcast(right), keys, how)
+    if how in ("inner", "left_semi"):
+        left = key_filter(left, right, on)
+    return lookup_join(left, right, on, how, counts=counts)
 
 
 def enrich(left: DataFrame, right: DataFrame, on: On) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from uuid import uuid4
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.operators.columns import conform
@@ -22,7 +22,9 @@ def overwrite_slice(df: DataFrame, path: str, slice_: Mapping[str, str]) -> None
     """Replace one partition of a partitioned Parquet target and leave the others alone.
 
     Every row must belong to the slice, else the write fails before anything changes. An
-    empty frame leaves an empty slice. Partition values are compared as text.
+    empty frame leaves an empty slice. Partition values are compared as text. ``df`` runs
+    once: its rows are counted as they are written. Writers do not exclude each other here;
+    ``slices.SliceTable`` has that.
     """
     checked = df
     for c, v in slice_.items():
@@ -33,16 +35,18 @@ def overwrite_slice(df: DataFrame, path: str, slice_: Mapping[str, str]) -> None
                 F.raise_error(F.concat(F.lit(f"row outside the slice {c}={v}: "), F.coalesce(text, F.lit("NULL"))))
             ),
         )
-    if checked.isEmpty():
-        folder = "/".join(f"{c}={v}" for c, v in slice_.items())
-        df.limit(0).drop(*slice_).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
-        return
+    seen = Observation()
     (
-        checked.write.mode("overwrite")
+        checked.observe(seen, F.count(F.lit(1)).alias("n"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*slice_)
         .parquet(path)
     )
+    if not seen.get["n"]:  # a dynamic overwrite leaves partitions alone that have no rows
+        folder = "/".join(f"{c}={v}" for c, v in slice_.items())
+        empty = df.sparkSession.createDataFrame([], df.drop(*slice_).schema)
+        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
 
 
 def checkpoint_table(df: DataFrame, name: str, location: str) -> DataFrame:

@@ -264,6 +264,22 @@ def test_small_lookups_are_counted_before_they_are_sent(spark):
         J.small_lookup_join(rows, side, "id", most_rows=9)
 
 
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+def test_lookups_are_sent_or_shuffled_by_their_bytes(spark, how):
+    rows = staged(spark.range(0, 4000, 1, 4).selectExpr("id AS n", "CASE WHEN id % 9 > 0 THEN id % 700 END AS a", "cast(id % 5 as string) AS b"))
+    side = spark.range(0, 300).selectExpr("id AS c", "cast(id % 5 as string) AS b", "repeat('x', 100) AS text", "array(id, null) AS list")
+    on = {"a": "c", "b": "b"}
+    small = J.small_lookup_join(rows, side, on, how)
+    large = J.small_lookup_join(rows, side, on, how, most_bytes=20_000)
+    assert "BroadcastHashJoin" in plan_text(small) and "SortMergeJoin" not in plan_text(small)
+    filtered = J.key_filter(rows, side, on)
+    partners = rows.where("a < 300 AND a % 5 = cast(b as int)").count()
+    assert partners <= filtered.count() <= partners + 2
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.select(small.columns).collect()))
+    full = J.key_filter(rows, side, on, bits=64)
+    assert partners <= full.count() and J.key_filter(rows, side.limit(0), on).count() == 0
+
+
 def copies(spark, changed=()):
     """A stored master table, and a copy of it with some rows changed, some gone and some new."""
     rows = spark.range(0, 40_000, 1, 4).selectExpr("cast(id as string) AS k", "'EA' AS u", "cast(id % 97 as string) AS a", "cast(id / 4 as string) AS b", "'box' AS box")
