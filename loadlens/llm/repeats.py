@@ -147,18 +147,22 @@ def classify(segments: DataFrame, earlier: bool) -> Classified:
     many = stage(totals.where("n > 1"), "anchors").hint("merge")
     rows = stage(segments.join(many, "anchor"), "repeated")
     single, several = rows.where("low = high"), rows.where("low < high").drop("n", "first", "low", "high")
+    # a document's segments of one class are one row from here on: a class may have very many segments
+    # in each of its documents
     of_doc = several.groupBy("anchor", "cls", "doc_id").agg(
         F.collect_list("at").alias("ats"), F.min("before").alias("before"), F.min("after").alias("after")
     )
+    of_doc = stage(of_doc, "by-document")
     classes = of_doc.groupBy("anchor", "cls").agg(
         F.sum(F.size("ats")).alias("n"), F.min(F.struct("doc_id", "ats", "before", "after")).alias("one")
     )
     classes = stage(classes.select("anchor", "cls", "n", "one.*"), "classes")
     span = [(F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("stop")]
     known = classes.select("anchor", "cls", F.col("doc_id").alias("first"), "n")
-    joined = several.join(known.where("n > 1").hint("merge"), ["anchor", "cls"])
+    joined = of_doc.join(known.where("n > 1").hint("merge"), ["anchor", "cls"])
     if earlier:
         single, joined = single.where("doc_id > first"), joined.where("doc_id > first")
+    joined = joined.select("doc_id", F.explode("ats").alias("at"), "before", "after")
     whole = single.select("doc_id", *span).unionByName(joined.select("doc_id", *span))
     return Classified(whole, classes)
 
