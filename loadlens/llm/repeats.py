@@ -17,11 +17,13 @@ form a segment, of less than two windows' length; a text has one for some third
 
 A class is compared once, however many documents hold it, so groups of copies cost what one copy
 costs, and no pair of documents is ever formed.
+
+Documents are known by id and version (``with_versions``), so ids may repeat, with one text or several.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,9 +77,13 @@ class _Powers:
 _powers = _Powers()
 
 
-def _window_places(grams: np.ndarray, width: int) -> np.ndarray:
-    """Place of the least of each ``width`` consecutive grams, the first of equal ones."""
+def _window_places(grams: np.ndarray, width: int, at_once: int = 1 << 27) -> np.ndarray:
+    """Place of the least of each ``width`` consecutive grams, the first of equal ones. Which gram that
+    is depends on the window alone, so longer arrays are taken in parts, to fit places into their bits."""
     n = len(grams)
+    if n - width + 1 > at_once:
+        parts = range(0, n - width + 1, at_once)
+        return np.concatenate([_window_places(grams[k : k + at_once + width - 1], width, at_once) + k for k in parts])
     key = (grams >> _PLACE << _PLACE) | np.arange(n, dtype=np.uint64)
     padded = np.full(-(-n // width) * width, np.uint64(2**64 - 1))
     padded[:n] = key
@@ -119,20 +125,43 @@ def runs(grams: np.ndarray, values: np.ndarray, lengths: np.ndarray, window: int
     return doc, c - (ends - lengths)[doc], left, right, grams[c], cls
 
 
-SEGMENT = "doc_id bigint, at bigint, before int, after int, anchor bigint, cls bigint"
+#: Bits of the map of ids that repeat: 4 MB, as a table of at most 2**19 numbers that every task gets.
+ID_BITS = 1 << 25
+
+
+def with_versions(texts: DataFrame) -> DataFrame:
+    """(doc_id, version, text) of ``texts`` (doc_id, text): the version is 0, or a hash of the text where
+    other rows may have the id. Only ids are shuffled; those that repeat set a bit of a map of fixed
+    size, and an id that meets the bit of another one merely gets a hash without need."""
+    place = F.xxhash64("doc_id").bitwiseAND(F.lit(ID_BITS - 1))
+    bit = F.expr("shiftleft(1L, cast(_place & 63 AS int))")
+    again = texts.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    words = again.select(place.alias("_place")).groupBy(F.shiftright("_place", 6).alias("_word"))
+    words = stage(words.agg(F.bit_or(bit).alias("_bits")), "repeated-ids")
+    if words.isEmpty():
+        return texts.select("doc_id", F.lit(0).cast("bigint").alias("version"), "text")
+    marked = texts.withColumn("_place", place).join(F.broadcast(words), F.shiftright("_place", 6) == F.col("_word"), "left")
+    text_hash = F.xxhash64("text")
+    version = F.when(F.col("_bits").bitwiseAND(bit) != 0, F.when(text_hash == 0, 1).otherwise(text_hash)).otherwise(0)
+    return marked.select("doc_id", F.when(F.col("doc_id").isNull(), 0).otherwise(version).cast("bigint").alias("version"), "text")
 
 
-def segment_batch(doc_ids: list[int], found) -> pa.RecordBatch:
+SEGMENT = "doc_id bigint, version bigint, at bigint, before int, after int, anchor bigint, cls bigint"
+
+
+def segment_batch(doc_ids: np.ndarray, versions: np.ndarray, found) -> pa.RecordBatch:
+    """Texts of one id and several versions have classes apart, as ``classify`` tells places by id."""
     doc, at, left, right, anchor, cls = found
-    ids = np.array(doc_ids, np.int64)[doc] if len(doc_ids) else doc
-    arrays = (ids, at, left.astype(np.int32), right.astype(np.int32), anchor.view(np.int64), cls.view(np.int64))
+    ids, version = doc_ids[doc], versions[doc]
+    cls = np.where(version == 0, cls, mix(cls ^ mix(version.view(np.uint64))))
+    arrays = (ids, version, at, left.astype(np.int32), right.astype(np.int32), anchor.view(np.int64), cls.view(np.int64))
     return pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], [x.split()[0] for x in SEGMENT.split(", ")])
 
 
 @dataclass
 class Classified:
-    whole: DataFrame  # (doc_id, start, stop): segments that repeat as a whole
-    classes: DataFrame  # (anchor, cls, n, doc_id, ats, before, after): of anchors with several classes
+    whole: DataFrame  # (doc_id, version, start, stop): segments that repeat as a whole
+    classes: DataFrame  # (anchor, cls, n, doc_id, version, ats, before, after): of anchors with several classes
 
 
 def classify(segments: DataFrame, earlier: bool) -> Classified:
@@ -149,51 +178,54 @@ def classify(segments: DataFrame, earlier: bool) -> Classified:
     single, several = rows.where("low = high"), rows.where("low < high").drop("n", "first", "low", "high")
     # a document's segments of one class are one row from here on: a class may have very many segments
     # in each of its documents
-    of_doc = several.groupBy("anchor", "cls", "doc_id").agg(
-        F.collect_list("at").alias("ats"), F.min("before").alias("before"), F.min("after").alias("after")
+    of_doc = several.groupBy("anchor", "cls", "doc_id", "version").agg(
+        F.count("*").alias("n"),
+        F.collect_set("at").alias("ats"),
+        F.min("before").alias("before"),
+        F.min("after").alias("after"),
     )
     of_doc = stage(of_doc, "by-document")
     classes = of_doc.groupBy("anchor", "cls").agg(
-        F.sum(F.size("ats")).alias("n"), F.min(F.struct("doc_id", "ats", "before", "after")).alias("one")
+        F.sum("n").alias("n"), F.min(F.struct("doc_id", "version", "ats", "before", "after")).alias("one")
     )
     classes = stage(classes.select("anchor", "cls", "n", "one.*"), "classes")
     span = [(F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("stop")]
     known = classes.select("anchor", "cls", F.col("doc_id").alias("first"), "n")
-    joined = of_doc.join(known.where("n > 1").hint("merge"), ["anchor", "cls"])
+    joined = of_doc.drop("n").join(known.where("n > 1").hint("merge"), ["anchor", "cls"])
     if earlier:
         single, joined = single.where("doc_id > first"), joined.where("doc_id > first")
-    joined = joined.select("doc_id", F.explode("ats").alias("at"), "before", "after")
-    whole = single.select("doc_id", *span).unionByName(joined.select("doc_id", *span))
+    joined = joined.select("doc_id", "version", F.explode("ats").alias("at"), "before", "after")
+    whole = single.select("doc_id", "version", *span).unionByName(joined.select("doc_id", "version", *span))
     return Classified(whole, classes)
 
 
-def contexts(classes: DataFrame, docs: DataFrame, cut: Callable[[bytes, np.ndarray, np.ndarray], list[bytes]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contexts(classes: DataFrame, texts: DataFrame, cut: Callable[[bytes, np.ndarray, np.ndarray], list[bytes]]) -> DataFrame:
     """``classes`` with the bytes of their texts: ``cut`` gives those of units [start, stop) of a text."""
-    wanted = classes.groupBy("doc_id").agg(
+    wanted = classes.groupBy("doc_id", "version").agg(
         F.collect_list(F.struct("anchor", "cls", "n", "ats", "before", "after")).alias("wanted")
     )
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    # an id stands for one text: of repeated rows one is read
-    joined = texts.join(wanted.hint("merge"), "doc_id")
+    # of repeated rows one is read
+    once = texts.where("version = 0").unionByName(texts.where("version <> 0").dropDuplicates(["doc_id", "version"]))
+    joined = once.join(wanted.hint("merge"), ["doc_id", "version"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
-                doc_id, text, wanted_ = (row.column(i) for i in range(3))
+                doc_id, version, text, wanted_ = (row.column(i) for i in range(4))
                 fields = wanted_.flatten()
                 start = pc.list_element(fields.field("ats"), 0).to_numpy(zero_copy_only=False)
                 before, after = (fields.field(x).to_numpy(zero_copy_only=False) for x in ("before", "after"))
                 parts = cut(text[0].as_py(), start - before, start + after)
-                ids = pa.array(np.full(len(parts), doc_id[0].as_py(), np.int64))
+                own = [pa.array(np.full(len(parts), x[0].as_py(), np.int64)) for x in (doc_id, version)]
                 yield pa.RecordBatch.from_arrays(
-                    [fields.field("anchor"), fields.field("cls"), fields.field("n"), ids, fields.field("ats"), fields.field("before"), fields.field("after"), pa.array(parts, pa.binary())],
+                    [fields.field("anchor"), fields.field("cls"), fields.field("n"), *own, fields.field("ats"), fields.field("before"), fields.field("after"), pa.array(parts, pa.binary())],
                     names,
                 )
 
-    schema = "anchor bigint, cls bigint, n bigint, doc_id bigint, ats array<bigint>, before int, after int, part binary"
+    schema = "anchor bigint, cls bigint, n bigint, doc_id bigint, version bigint, ats array<bigint>, before int, after int, part binary"
     names = [x.split()[0] for x in schema.split(", ")]
-    return joined.select("doc_id", "text", "wanted").mapInArrow(run, schema)
+    return joined.select("doc_id", "version", "text", "wanted").mapInArrow(run, schema)
 
 
 def _order(group: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -263,12 +295,12 @@ def match(group: np.ndarray, left: list[bytes], right: list[bytes], docs: np.nda
     if not len(live):
         return ranges
     # equal trimmed texts collapse
-    whole = np.zeros((len(live), 2 * window + 4), np.uint8)
+    whole = np.zeros((len(live), 2 * window + 8), np.uint8)
     for side in (0, 1):
         part = rows[side][live].copy()
         part[np.arange(window) >= reach[side][live, None]] = 0
-        whole[:, 4 + side * window : 4 + (side + 1) * window] = part
-        whole[:, 2 * side : 2 * side + 2] = reach[side][live].astype(">u2").view(np.uint8).reshape(-1, 2)
+        whole[:, 8 + side * window : 8 + (side + 1) * window] = part
+        whole[:, 4 * side : 4 * side + 4] = reach[side][live].astype(">u4").view(np.uint8).reshape(-1, 4)
     order, common = _order(group[live], whole)
     new = common < whole.shape[1]
     kind = np.empty(len(live), np.int64)
@@ -341,7 +373,7 @@ def _strings(group: np.ndarray, rows: list[np.ndarray], reach: list[np.ndarray],
 
 def resolve(parts: DataFrame, window: int, unit: int, earlier: bool, encode: Callable[[bytes], bytes],
             index: Callable[[Strings], Iterator[tuple[int, int, int]]]) -> DataFrame:
-    """(doc_id, start, stop) in units, for the documents that stand for their class. ``window`` is in
+    """(doc_id, version, start, stop) in units, for the documents that stand for their class. ``window`` is in
     units of ``unit`` bytes, ``encode`` makes such units of a text. Classes are dealt by anchor."""
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -373,16 +405,16 @@ def resolve(parts: DataFrame, window: int, unit: int, earlier: bool, encode: Cal
             docs, n = table.column("doc_id").to_numpy(), table.column("n").to_numpy()
             found = match(table.column("anchor").to_numpy(), left, right, docs, n, window * unit, unit, earlier, index)
             rows = [
-                (doc, at + a // unit, at + b // unit)
-                for doc, count, ats, own in zip(docs.tolist(), n.tolist(), table.column("ats").to_pylist(), found)
+                (doc, version, at + a // unit, at + b // unit)
+                for doc, version, count, ats, own in zip(docs.tolist(), table.column("version").to_pylist(), n.tolist(), table.column("ats").to_pylist(), found)
                 if earlier or count == 1
                 for a, b in own
                 for at in ats
             ]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*rows) if rows else ([], [], []))], ["doc_id", "start", "stop"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*rows) if rows else ([], [], [], []))], ["doc_id", "version", "start", "stop"])
 
     dealt = parts.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(run, "doc_id bigint, start bigint, stop bigint")
+    return dealt.mapInArrow(run, "doc_id bigint, version bigint, start bigint, stop bigint")
 
 
 def _cut_cells(wanted: DataFrame, window: int, unit: int, encode: Callable[[bytes], bytes], parent: int, width: int) -> DataFrame:
@@ -417,11 +449,11 @@ def _cut_cells(wanted: DataFrame, window: int, unit: int, encode: Callable[[byte
                 key = mix(part(place - low, place + window - high) ^ mix(mix(anchor[row].view(np.uint64)) + low.astype(np.uint64)))
                 shape = (a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)
                 whole = mix(part(place - b, place + window - a) ^ mix(key + shape))
-                kept = batch.select(["anchor", "cls", "n", "doc_id", "ats"]).take(pa.array(row))
+                kept = batch.select(["anchor", "cls", "n", "doc_id", "version", "ats"]).take(pa.array(row))
                 new = [pa.array(x.astype(np.int32)) for x in (low, -b, window - a)] + [pa.array(x.view(np.int64)) for x in (key, whole)]
                 yield pa.RecordBatch.from_arrays(kept.columns + new, out)
 
-    schema = "anchor bigint, cls bigint, n bigint, doc_id bigint, ats array<bigint>, low int, start int, stop int, key bigint, whole bigint"
+    schema = "anchor bigint, cls bigint, n bigint, doc_id bigint, version bigint, ats array<bigint>, low int, start int, stop int, key bigint, whole bigint"
     out = [x.split()[0] for x in schema.split(", ")]
     names = wanted.columns
     return wanted.mapInArrow(run, schema)
@@ -446,7 +478,7 @@ def by_cells(parts: DataFrame, window: int, unit: int, earlier: bool, encode: Ca
         kinds = stage(kinds.select("key", "whole", "total", F.col("one.doc_id").alias("first"), F.col("one.cls").alias("sign")), "kinds")
         equal = cells.join(kinds.where("total > 1").hint("merge"), ["key", "whole"])
         equal = equal.where("doc_id > first" if earlier else "n = 1")
-        found.append(equal.select("doc_id", F.explode("ats").alias("at"), "start", "stop"))
+        found.append(equal.select("doc_id", "version", F.explode("ats").alias("at"), "start", "stop"))
         if width == 1:
             break
         # keys with several kinds, of which at least one is not settled
@@ -465,26 +497,26 @@ def by_cells(parts: DataFrame, window: int, unit: int, earlier: bool, encode: Ca
     rows = found[0]
     for more in found[1:]:
         rows = rows.unionByName(more)
-    return rows.select("doc_id", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("stop")).alias("stop"))
+    return rows.select("doc_id", "version", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("stop")).alias("stop"))
 
 
-def compare(classes: DataFrame, docs: DataFrame, cut: Callable[[bytes, np.ndarray, np.ndarray], list[bytes]], window: int, unit: int, earlier: bool,
-            encode: Callable[[bytes], bytes], index: Callable[[Strings], Iterator[tuple[int, int, int]]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, start, stop) in units, for the documents that stand for their class: ``resolve`` for
+def compare(classes: DataFrame, texts: DataFrame, cut: Callable[[bytes, np.ndarray, np.ndarray], list[bytes]], window: int, unit: int, earlier: bool,
+            encode: Callable[[bytes], bytes], index: Callable[[Strings], Iterator[tuple[int, int, int]]]) -> DataFrame:
+    """(doc_id, version, start, stop) in units, for the documents that stand for their class: ``resolve`` for
     the anchors that a task can hold, ``by_cells`` for the others."""
     sizes = classes.groupBy("anchor").agg(F.count("*").alias("classes"))
     large = stage(sizes.where(F.col("classes") > AT_MOST).select("anchor"), "large")
     if large.isEmpty():
-        return resolve(contexts(classes, docs, cut, id_col, text_col), window, unit, earlier, encode, index)
-    few = contexts(classes.join(large, "anchor", "left_anti"), docs, cut, id_col, text_col)
-    many = stage(contexts(classes.join(large, "anchor", "left_semi"), docs, cut, id_col, text_col), "many")
+        return resolve(contexts(classes, texts, cut), window, unit, earlier, encode, index)
+    few = contexts(classes.join(large, "anchor", "left_anti"), texts, cut)
+    many = stage(contexts(classes.join(large, "anchor", "left_semi"), texts, cut), "many")
     return resolve(few, window, unit, earlier, encode, index).unionByName(by_cells(many, window, unit, earlier, encode))
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """(doc_id, starts, stops) from (doc_id, start, stop), not yet merged."""
-    both = F.collect_list(F.struct("start", "stop"))
-    return found.groupBy("doc_id").agg(both.alias("both")).select("doc_id", F.col("both.start").alias("start"), F.col("both.stop").alias("stop"))
+    """(doc_id, version, starts, stops) from (doc_id, version, start, stop), each once, not yet merged."""
+    both = F.collect_set(F.struct("start", "stop"))
+    return found.groupBy("doc_id", "version").agg(both.alias("both")).select("doc_id", "version", F.col("both.start").alias("start"), F.col("both.stop").alias("stop"))
 
 
 def merge(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
@@ -495,3 +527,35 @@ def merge(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
     new[1:] = a[1:] > b[:-1]
     first = np.flatnonzero(new)
     return list(zip(a[first].tolist(), b[np.append(first[1:], len(a)) - 1].tolist())) if len(a) else []
+
+
+def without_spans(texts: DataFrame, spans: DataFrame, units: Callable[[bytes], Sequence], joint: bytes, count: str) -> DataFrame:
+    """(doc_id, ``count``, spans, kept): how many ``units`` a text has, the removed spans as a flat list,
+    and what stays, put together with ``joint``."""
+    joined = texts.join(spans.hint("merge"), ["doc_id", "version"], "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts_, starts, stops = batch.columns
+            some, held = [], 0
+            for k in range(batch.num_rows):
+                own, kept, at, flat = units(texts_[k].as_py()), [], 0, []
+                if starts[k].is_valid:
+                    for a, b in merge(*(np.array(x[k].as_py()) for x in (starts, stops))):
+                        kept.append(own[at:a])
+                        flat += (a, b)
+                        at = b
+                kept.append(own[at:])
+                whole = b"".join(kept) if isinstance(own, bytes) else joint.join(x for part in kept for x in part)
+                some.append((ids[k].as_py(), len(own), flat, whole))
+                held += len(whole)
+                if held > 8_000_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*some), types)], names)
+                    some, held = [], 0
+            if some:
+                yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*some), types)], names)
+
+    names = ["doc_id", count, "spans", "kept"]
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+    schema = f"doc_id bigint, {count} bigint, spans array<bigint>, kept binary"
+    return joined.select("doc_id", "text", "start", "stop").mapInArrow(run, schema)

@@ -10,8 +10,9 @@ is only ever met by the texts that can match it, and only while its task runs.
 
 Defined results: NULL text has no words; texts under ``length`` words lose nothing. The first
 document of each window keeps it, also where it repeats it itself. Repeated rows keep theirs, since
-none has a smaller id. Rows that share an id must share their text. Rows without an id
-keep their text and count for no other row. No rows give no rows.
+none has a smaller id. Rows that share an id but not their text are documents of their own, neither
+smaller than the other. Rows without an id keep their text and count for no other row. No rows give
+no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from loadlens.llm import repeats
 from loadlens.llm.staging import stage
-from loadlens.llm.suffix_dedup import _power, _rows, _texts
+from loadlens.llm.suffix_dedup import _power, _texts, versions
 
 LENGTH = 50
 #: Words of a gram, or about a quarter of ``length`` if that is less.
@@ -46,23 +47,23 @@ class Words(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def segments(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def segments(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     gram = _power(min(GRAM, length // 4), 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Words()
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for first, stop, texts in _texts(batch):
+            ids, version = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
+            for first, stop, some in _texts(batch):
                 # words end at the six ASCII blanks, where bytes.split() cuts
-                words = [x.split() for x in texts]
+                words = [x.split() for x in some]
                 lengths = np.array([len(x) for x in words], np.int64)
-                own = hashes.of([x for some in words for x in some])
+                own = hashes.of([x for own in words for x in own])
                 # a gram that reaches past the end of a text is in no window
                 found = repeats.runs(repeats.gram_hashes(own, gram), own, lengths, length, gram)
-                yield repeats.segment_batch(ids[first:stop], found)
+                yield repeats.segment_batch(ids[first:stop], version[first:stop], found)
 
-    return _rows(docs, id_col, text_col).where("doc_id IS NOT NULL").mapInArrow(run, repeats.SEGMENT)
+    return texts.where("doc_id IS NOT NULL").mapInArrow(run, repeats.SEGMENT)
 
 
 def _cut(text: bytes, starts: np.ndarray, stops: np.ndarray) -> list[bytes]:
@@ -144,37 +145,19 @@ def by_automaton(strings: repeats.Strings) -> Iterator[tuple[int, int, int]]:
                 yield k, breaks[end - longest], breaks[end]
 
 
-def repeated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, start, stop): parts that an earlier document has, in words, not yet merged."""
-    found = stage(segments(docs, length, id_col, text_col), "segments")
+def repeated(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(doc_id, version, starts, stops): parts of ``versions`` that an earlier document has, in words, not
+    yet merged."""
+    found = stage(segments(texts, length), "segments")
     known = repeats.classify(found, earlier=True)
-    compared = repeats.compare(known.classes, docs, _cut, length, 8, True, _units, by_automaton, id_col, text_col)
+    compared = repeats.compare(known.classes, texts, _cut, length, 8, True, _units, by_automaton)
     return repeats.spans(known.whole.unionByName(compared))
 
 
 def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, spans, kept): the removed spans, in words, and the kept words joined by a space."""
-    spans = stage(repeated(docs, length, id_col, text_col), "spans")
-    joined = _rows(docs, id_col, text_col).join(spans.hint("merge"), "doc_id", "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                words, kept, at, own = row["text"].split(), [], 0, []
-                if row["start"]:
-                    own = repeats.merge(np.array(row["start"]), np.array(row["stop"]))
-                for a, b in own:
-                    kept += words[at:a]
-                    at = b
-                kept += words[at:]
-                flat = [x for pair in own for x in pair]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["doc_id"]], pa.int64()), pa.array([len(words)], pa.int64()), pa.array([flat], pa.list_(pa.int64())), pa.array([b" ".join(kept)], pa.binary())],
-                    ["doc_id", "n_words", "spans", "kept"],
-                )
-
-    schema = "doc_id bigint, n_words bigint, spans array<bigint>, kept binary"
-    return joined.select("doc_id", "text", "start", "stop").mapInArrow(run, schema)
+    texts = versions(docs, id_col, text_col)
+    return repeats.without_spans(texts, stage(repeated(texts, length), "spans"), bytes.split, b" ", "n_words")
 
 
 def report(removed: DataFrame) -> DataFrame:

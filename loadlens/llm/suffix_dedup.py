@@ -9,7 +9,7 @@ prefix of ``length`` bytes tell the repeated parts.
 
 Defined results: NULL text counts as empty; texts under ``length`` bytes lose nothing unless they
 repeat it, which they cannot. Of repeated strings no copy stays. Repeated rows repeat each other.
-Rows are told apart by id; rows that share an id must share their text. Rows without an id
+Rows that share an id are documents of their own, with one text or several. Rows without an id
 keep their text and count for no other row. No rows give no rows.
 """
 
@@ -50,7 +50,7 @@ def _power(at_most: int, least: int) -> int:
 
 
 def _texts(batch: pa.RecordBatch, at_once: int = 1_000_000) -> Iterator[tuple[int, int, list[bytes]]]:
-    texts = batch.column(1).to_pylist()
+    texts = batch.column("text").to_pylist()
     first = size = 0
     for k, text in enumerate(texts):
         if k > first and size + len(text) > at_once:
@@ -66,20 +66,25 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
 
 
-def segments(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def versions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, version, text as bytes) of all rows, see ``repeats.with_versions``."""
+    return repeats.with_versions(_rows(docs, id_col, text_col))
+
+
+def segments(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     gram = _power(min(GRAM, length // 4), 8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for first, stop, texts in _texts(batch):
-                lengths = np.array([len(x) for x in texts], np.int64)
-                raw = np.frombuffer(b"".join(texts) + bytes(gram), np.uint8)
+            ids, version = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
+            for first, stop, some in _texts(batch):
+                lengths = np.array([len(x) for x in some], np.int64)
+                raw = np.frombuffer(b"".join(some) + bytes(gram), np.uint8)
                 n = int(lengths.sum())
                 found = repeats.runs(_grams(raw, n, gram), _TABLE[raw[:n]], lengths, length, gram)
-                yield repeats.segment_batch(ids[first:stop], found)
+                yield repeats.segment_batch(ids[first:stop], version[first:stop], found)
 
-    return _rows(docs, id_col, text_col).where("doc_id IS NOT NULL").mapInArrow(run, repeats.SEGMENT)
+    return texts.where("doc_id IS NOT NULL").mapInArrow(run, repeats.SEGMENT)
 
 
 def _cut(text: bytes, starts: np.ndarray, stops: np.ndarray) -> list[bytes]:
@@ -104,37 +109,19 @@ def by_suffix_array(strings: repeats.Strings) -> Iterator[tuple[int, int, int]]:
             yield owner[place], breaks[at], breaks[at + shared]
 
 
-def repeated(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, starts, stops): parts that repeat, in bytes, overlapping ones not yet merged."""
-    found = stage(segments(docs, length, id_col, text_col), "segments")
+def repeated(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(doc_id, version, starts, stops): parts of ``versions`` that repeat, in bytes, overlapping ones not
+    yet merged."""
+    found = stage(segments(texts, length), "segments")
     known = repeats.classify(found, earlier=False)
-    compared = repeats.compare(known.classes, docs, _cut, length, 1, False, bytes, by_suffix_array, id_col, text_col)
+    compared = repeats.compare(known.classes, texts, _cut, length, 1, False, bytes, by_suffix_array)
     return repeats.spans(known.whole.unionByName(compared))
 
 
 def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, spans, kept): the removed spans and the bytes that stay."""
-    spans = stage(repeated(docs, length, id_col, text_col), "spans")
-    joined = _rows(docs, id_col, text_col).join(spans.hint("merge"), "doc_id", "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                text, kept, at, own = row["text"], [], 0, []
-                if row["start"]:
-                    own = repeats.merge(np.array(row["start"]), np.array(row["stop"]))
-                for a, b in own:
-                    kept.append(text[at:a])
-                    at = b
-                kept.append(text[at:])
-                flat = [x for pair in own for x in pair]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["doc_id"]], pa.int64()), pa.array([len(text)], pa.int64()), pa.array([flat], pa.list_(pa.int64())), pa.array([b"".join(kept)], pa.binary())],
-                    ["doc_id", "n_bytes", "spans", "kept"],
-                )
-
-    schema = "doc_id bigint, n_bytes bigint, spans array<bigint>, kept binary"
-    return joined.select("doc_id", "text", "start", "stop").mapInArrow(run, schema)
+    texts = versions(docs, id_col, text_col)
+    return repeats.without_spans(texts, stage(repeated(texts, length), "spans"), bytes, b"", "n_bytes")
 
 
 def report(removed: DataFrame) -> DataFrame:

@@ -72,6 +72,23 @@ def words_removed(docs, length):
     return out
 
 
+def rows_without_words(docs, length):
+    """What ``words_removed`` tells, for rows whose ids may repeat."""
+    first = {}
+    for doc, words in docs:
+        for i in range(len(words) - length + 1):
+            window = tuple(words[i : i + length])
+            first[window] = min(doc, first.get(window, doc))
+    out = []
+    for doc, words in docs:
+        covered = np.zeros(len(words), bool)
+        for i in range(len(words) - length + 1):
+            if first[tuple(words[i : i + length])] < doc:
+                covered[i : i + length] = True
+        out.append(covered)
+    return out
+
+
 def mixed(seed, documents=60):
     """Texts with shared passages, edits, runs and copies."""
     rng = random.Random(seed)
@@ -97,6 +114,20 @@ def mixed(seed, documents=60):
     return texts
 
 
+def one_passage(seed, documents=90):
+    """Texts that hold parts of one passage among words of their own, some of them twice."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6)))
+    passage = [word() for _ in range(50)]
+    out = []
+    for _ in range(documents):
+        words = [word() for _ in range(rng.randint(0, 8))]
+        for _ in range(rng.choice((1, 1, 2))):
+            words += passage[rng.randint(0, 12) : rng.randint(35, 50)] + [word() for _ in range(rng.randint(0, 8))]
+        out.append(" ".join(words))
+    return out
+
+
 @pytest.mark.parametrize("seed, length", [(1, 40), (2, 64), (3, 100)])
 def test_bytes_against_brute_force(make, seed, length):
     texts = mixed(seed)
@@ -149,6 +180,46 @@ def test_odd_rows_and_none(odd, nothing, op, length):
         assert kept[11].count(b" ") == 11_999  # the first document keeps what it repeats itself
 
 
+def test_a_text_stays_somewhere_when_ids_clash(make):
+    rng = random.Random(3)
+    v, w = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(120)) for _ in range(2))
+    rows = substring_dedup.remove(make([(1, w), (5, v), (5, w), (7, v)]), 50).collect()
+    assert sorted((r["doc_id"], bytes(r["kept"]).decode()) for r in rows) == [(1, w), (5, ""), (5, v), (7, "")]
+
+
+@pytest.mark.parametrize("most", [5_000, 3])
+@pytest.mark.parametrize("op, length", [(suffix_dedup, 64), (substring_dedup, 12)])
+@pytest.mark.parametrize("texts", [one_passage(9), mixed(10)], ids=["passage", "mixed"])
+def test_ids_of_several_texts_and_repeated_rows(make, monkeypatch, op, length, texts, most):
+    monkeypatch.setattr(repeats, "AT_MOST", most)
+    pairs = [(k // 3 if k % 2 else k, t) for k, t in enumerate(texts)]
+    pairs += pairs[:5] + [pairs[7]] * 40
+    if op is suffix_dedup:
+        raw = [t.encode() for _, t in pairs]
+        kept = [bytes(b for b, c in zip(text, x) if not c) for text, x in zip(raw, bytes_removed(raw, length))]
+    else:
+        docs = [(k, t.encode().split()) for k, t in pairs]
+        kept = [b" ".join(w for w, c in zip(words, x) if not c) for (_, words), x in zip(docs, rows_without_words(docs, length))]
+    want = sorted((k, x) for (k, _), x in zip(pairs, kept))
+    assert sorted((r["doc_id"], bytes(r["kept"])) for r in op.remove(make(pairs), length).collect()) == want
+
+
+def test_places_in_parts():
+    grams = np.random.default_rng(2).integers(0, 50, 1_000, dtype=np.uint64) << np.uint64(28)
+    for width in (1, 7, 64):
+        whole = repeats._window_places(grams, width)
+        for at_once in (1, 10, 333, 1_000):
+            assert (repeats._window_places(grams, width, at_once) == whole).all()
+
+
+def test_windows_beyond_16_bits(make):
+    rng = random.Random(4)
+    shared = "".join(rng.choice("abcdefgh") for _ in range(70_000))
+    texts = [shared + "x" * 5, "yy" + shared[:69_000] + "z", "q" + shared[:60_000]]
+    out = {r["doc_id"]: r["spans"] for r in suffix_dedup.remove(make(texts), 66_000).collect()}
+    assert out == {0: [0, 69_000], 1: [2, 69_002], 2: []}
+
+
 def test_segments_cover_every_window_once():
     rng = np.random.default_rng(1)
     lengths = np.array([0, 5, 30, 7, 200], np.int64)
@@ -158,20 +229,6 @@ def test_segments_cover_every_window_once():
     assert windows == [(d, k) for d, n in enumerate(lengths) for k in range(n - 6)]
 
 
-def one_passage(seed, documents=90):
-    """Texts that hold parts of one passage among words of their own, some of them twice."""
-    rng = random.Random(seed)
-    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6)))
-    passage = [word() for _ in range(50)]
-    out = []
-    for _ in range(documents):
-        words = [word() for _ in range(rng.randint(0, 8))]
-        for _ in range(rng.choice((1, 1, 2))):
-            words += passage[rng.randint(0, 12) : rng.randint(35, 50)] + [word() for _ in range(rng.randint(0, 8))]
-        out.append(" ".join(words))
-    return out
-
-
 @pytest.mark.parametrize("op, length", [(suffix_dedup, 64), (substring_dedup, 12)])
 @pytest.mark.parametrize("texts", [one_passage(7), mixed(8)], ids=["passage", "mixed"])
 def test_anchors_with_many_contexts_do_not_meet_in_a_task(make, monkeypatch, op, length, texts):
