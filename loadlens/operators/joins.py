@@ -18,7 +18,7 @@ measured is under its threshold.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -268,8 +268,9 @@ def two_pass_match(
     coarse: Sequence[str],
     *,
     regroup: Mapping[str, Column],
-    left_coarse: DataFrame | None = None,
+    rest: Callable[[DataFrame], DataFrame] | None = None,
     right_coarse: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Match on the fine key, then give unmatched keys a second try on a coarser key.
 
@@ -277,17 +278,18 @@ def two_pass_match(
     no partner (NULL keys left out), collapses them to the coarse key with ``regroup`` and
     joins the right side summed to that key. ``match_pass`` is 1 or 2; drop the unmatched
     rows of pass 1 to count every shipment once.
+
+    The join of pass 1 tells which rows are left over, so the right side is matched once and no
+    anti join follows. ``keep`` (``staged``) stores its rows, which both passes read. ``rest`` may
+    bring the left-over rows, with the columns of ``left``, into another shape before ``regroup``.
     """
     measures = [c for c in right.columns if c not in fine and c not in coarse]
     only_right = [c for c in right.columns if c not in fine and c not in left.columns]
     marked = right.select(*fine, *only_right).withColumn("_hit", F.lit(True))
     first = left.join(marked, list(fine), "left")
-    second_in = (left if left_coarse is None else left_coarse).dropna(subset=list(fine))
-    retry = (
-        second_in.join(right.select(*fine).distinct(), list(fine), "left_anti")
-        .groupBy(*coarse)
-        .agg(*[e.alias(n) for n, e in regroup.items()])
-    )
+    first = keep(first) if keep else first
+    over = first.where(F.col("_hit").isNull()).dropna(subset=list(fine)).select(*left.columns)
+    retry = (rest(over) if rest else over).groupBy(*coarse).agg(*[e.alias(n) for n, e in regroup.items()])
     coarse_side = (right if right_coarse is None else right_coarse).select(*coarse, *measures)
     second = retry.join(coarse_side.withColumn("_hit", F.lit(True)), list(coarse), "left")
     matched = F.coalesce(F.col("_hit"), F.lit(False))

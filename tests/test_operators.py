@@ -146,6 +146,7 @@ def test_two_pass_match(spark):
         regroup={"n": F.sum("n")},
         right_coarse=right.drop("origin"),
     )
+    assert "LeftAnti" not in out._jdf.queryExecution().optimizedPlan().toString()
     got = rows_of(out.select("match_pass", "week", "origin", "zone", "n", "cost", "matched"))
     assert got == sorted(
         [
