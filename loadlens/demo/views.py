@@ -147,6 +147,7 @@ class Views:
         self.sf_dir = sf_dir
         self.stored = stored
         self.hub = hub  # a stored on-time hub, for the plans that read one
+        self.layout = None  # the events stored by load, for the hub that reads them so
         self._tables: dict[str, DataFrame] = {}
 
     def as_stored(self) -> Views:

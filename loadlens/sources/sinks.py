@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from uuid import uuid4
 
 from pyspark import StorageLevel
@@ -115,8 +115,9 @@ def drop_partition(
         delete_folder(spark, purge_path.rstrip("/") + "/" + "/".join(f"{c}={v}" for c, v in spec.items()))
 
 
-# Folders that ``staging_folder`` has given out.
+# Folders that ``staging_folder`` has given out, and the bucketed tables in some of them.
 _staged: list[str] = []
+_tables: list[str] = []
 
 
 def staging_folder(spark: SparkSession, root: str | None = None) -> str:
@@ -139,7 +140,24 @@ def staged(df: DataFrame, root: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def staged_by(df: DataFrame, keys: Sequence[str], buckets: int, root: str | None = None) -> DataFrame:
+    """``staged``, but bucketed and sorted by ``keys``, one file a bucket.
+
+    Tables stored by the same keys and number of buckets are joined and aggregated by them, or by
+    them and further columns, without a shuffle. All rows of a key are one task's: keep hot keys
+    out. Spark knows the buckets from its catalogue only, so this leaves a table there as well.
+    """
+    spark, folder = df.sparkSession, staging_folder(df.sparkSession, root)
+    name = f"by_{keys[0]}_{uuid4().hex}"
+    dealt = df.repartition(buckets, *keys)  # by the same hash as the buckets: a task writes one of them
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", folder).format("parquet").saveAsTable(name)
+    _tables.append(name)
+    return spark.table(name)
+
+
 def clean_staged(spark: SparkSession) -> None:
-    """Delete what ``staged`` has written in this process, once no result reads it any more."""
+    """Delete what ``staged`` and ``staged_by`` have written in this process, once no result reads it any more."""
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
     while _staged:
         delete_folder(spark, _staged.pop())

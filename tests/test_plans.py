@@ -10,7 +10,7 @@ from catalog import plans, registry
 from loadlens.demo.views import Views
 from loadlens.operators import joins as J
 from loadlens.operators import windows as W
-from loadlens.plans import schemas
+from loadlens.plans import by_load, schemas
 from loadlens.plans.loading import load_out_rows
 from loadlens.sources import sinks
 
@@ -119,3 +119,46 @@ def test_multi_key_lookups_with_more_customers_than_a_broadcast_takes(spark, sf_
 
     out = OVER_VIEWS["multi_key_lookups"](Many(spark, sf_dir))
     assert out.where("party_flag = 'Y'").count() > 0
+
+
+WHOLE_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def test_the_hub_by_load_moves_no_row(spark, stored):
+    stored.layout = plans.layout_of(stored)
+    spark.conf.set(WHOLE_KEYS, "false")
+    try:
+        plan = plan_of(registry.OVER_VIEWS["on_time_hub_by_load"](stored))
+    finally:
+        spark.conf.unset(WHOLE_KEYS)
+        layout, stored.layout = stored.layout, None
+    assert "Exchange" not in plan
+    assert "SelectedBucketsCount" in plan or "Bucketed: true" in plan
+    # one file a bucket at most, so that a bucket is read in the order it was sorted in
+    assert len(layout.events.inputFiles()) <= layout.buckets
+
+
+def test_hub_by_load_with_hot_loads_and_without_a_load(spark, sf_dir):
+    """Loads kept apart, rows without a load, stage, order or ship point: the rows of the plain hub."""
+
+    v = Views(spark, sf_dir, stored=True)
+    nth = lambda n: F.pmod(F.xxhash64("line_key"), F.lit(n))
+    hot = F.when(nth(3) == 0, F.lit("0000000007")).otherwise(F.col("shpmt_id"))
+    missing = {"shpmt_id": 7, "trnsp_stage_num": 5, "order_num": 11, "ship_point_code": 13}
+    rows = v.events.where(nth(4) == 0).withColumn("shpmt_id", hot)
+    v.events = sinks.staged(rows.withColumns({c: F.when(nth(n) != 0, F.col(c)) for c, n in missing.items()}))
+    layout = plans.layout_of(v, rows_per_bucket=300, buckets=3)
+    assert layout.apart.where("shpmt_id IS NOT NULL").select("shpmt_id").distinct().count() == 1
+    assert layout.events.where("load_id IS NULL").isEmpty()
+    want = sinks.staged(plans.hub_of(v))
+    got = sinks.staged(by_load.hub_by_load(layout, schema=schemas.ON_TIME_HUB, audit=False))
+    assert got.count() == want.count() == v.events.count()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    sinks.clean_staged(spark)
+
+
+def test_hub_by_load_of_no_events(spark, sf_dir):
+    v = Views(spark, sf_dir, stored=True)
+    v.events = v.events.limit(0)
+    assert by_load.hub_by_load(plans.layout_of(v), schema=schemas.ON_TIME_HUB, audit=False).isEmpty()
+    sinks.clean_staged(spark)
