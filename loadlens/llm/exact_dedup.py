@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from loadlens.llm.staging import new_folder, stage
 
-#: Buckets of the index. Fixed when an index is made; 4096 buckets hold some 10^12 digests.
+#: Buckets of an index, at least. Fixed when an index is made; 4096 buckets hold some 10^12 digests.
 BUCKETS = 16
 #: Slots that the rows of one digest are spread over, so that no group of copies meets in one task.
 SALTS = 32
@@ -93,9 +93,12 @@ def add_batch(docs: DataFrame, index: str, id_col: str = "doc_id", text_col: str
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``add_batch`` against a new index."""
+    """``add_batch`` against a new index. It has a bucket for each shuffle partition, so that its rows
+    are written as they are dealt, one file a task: with fewer buckets than tasks every task would
+    write a small file into each bucket."""
     spark = docs.sparkSession
-    return add_batch(docs, open_index(spark, new_folder(spark, "digest-index")), id_col, text_col)
+    buckets = max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return add_batch(docs, open_index(spark, new_folder(spark, "digest-index"), buckets), id_col, text_col)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

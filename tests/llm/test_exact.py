@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+from pathlib import Path
+
+import pytest
 
 from loadlens.llm import exact_dedup as X
 from loadlens.llm import staging
@@ -41,3 +44,21 @@ def test_odd_rows_and_none(odd, nothing):
     kept = X.keep_one(odd)
     assert kept.columns == odd.columns
     assert kept.where("text = 'alone here'").count() == 1 and kept.where("text = 'a'").count() == 1
+
+
+@pytest.fixture
+def many_partitions(spark, monkeypatch):
+    """40 shuffle partitions, and repartition by a key into 40 at least, as on a cluster that deals finely."""
+    frame = type(spark.range(0))
+    deal = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *keys: deal(self, max(n, 40) if keys else n, *keys))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    yield 40
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_new_index_has_one_file_a_task(make, many_partitions):
+    assert X.dedup(make([f"t{k % 900}" for k in range(1000)])).where("kept").count() == 900
+    (folder,) = {path for path, _ in staging._made if "digest-index" in path}
+    assert len(list(Path(folder).rglob("part-*.parquet"))) <= many_partitions
