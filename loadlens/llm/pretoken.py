@@ -162,9 +162,10 @@ def token_starts(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
 AT_ONCE = 500_000
 
 
-def slices(texts: list[str]):
-    """Yield (first, stop, pieces, bounds) over consecutive runs of texts: the pieces, as UTF-8, of
-    texts [first, stop) in one list; the piece at bounds[k] is the separator after text first + k."""
+def cuts(texts: list[str]):
+    """Yield (first, stop, raw, places, bounds) over consecutive runs of texts: ``raw`` is texts
+    [first, stop) in UTF-8, each with a separator after it; piece k of it lies between places[k] and
+    places[k + 1], and the piece at bounds[k] is the separator after text first + k."""
     first = 0
     while first < len(texts):
         stop, size = first, 0
@@ -176,14 +177,18 @@ def slices(texts: list[str]):
         ends = np.cumsum([len(x) + 1 for x in texts[first:stop]]) - 1
         at = np.flatnonzero(token_starts(points, ends))
         raw = joined.encode()
-        if len(raw) == len(points):
-            places = at.tolist()
-        else:  # places in UTF-8
+        places = at
+        if len(raw) != len(points):  # places in UTF-8
             wide = np.ones(len(points), np.int64)
             for least in (0x80, 0x800, 0x10000):
                 wide += points >= least
-            places = (np.cumsum(wide) - wide)[at].tolist()
-        places.append(len(raw))
-        pieces = [raw[a:b] for a, b in zip(places, places[1:])]
-        yield first, stop, pieces, np.searchsorted(at, ends).tolist()
+            places = (np.cumsum(wide) - wide)[at]
+        yield first, stop, raw, np.append(places, len(raw)), np.searchsorted(at, ends).tolist()
         first = stop
+
+
+def slices(texts: list[str]):
+    """Yield (first, stop, pieces, bounds) as ``cuts`` does, with the pieces in one list."""
+    for first, stop, raw, places, bounds in cuts(texts):
+        places = places.tolist()
+        yield first, stop, [raw[a:b] for a, b in zip(places, places[1:])], bounds

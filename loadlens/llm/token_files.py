@@ -86,7 +86,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     columns = ["first", "doc_ids", "starts", "lengths", "words", "escapes"]
-    return files.join(firsts, "shard").select(*columns).mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    # sent to the files, one row a shard; else they may be shuffled by it, whole
+    return files.join(F.broadcast(firsts), "shard").select(*columns).mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def crc32(rows: DataFrame) -> DataFrame:

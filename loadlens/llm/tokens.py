@@ -3,7 +3,8 @@
 For a byte-level file the texts are cut by ``pretoken`` and only pieces not met before go through
 the library's merges; the ids of the others come from a cache of bounded size in each worker. Strings
 of the file's added tokens are single ids, as the library has them. Files with any other normaliser
-or pre-tokeniser, or with added tokens that strip or want whole words, are handed whole texts.
+or pre-tokeniser, or with added tokens that strip or want whole words, are handed whole texts. Pieces
+are looked up once for each run of texts, and their ids are put in order by Arrow.
 """
 
 from __future__ import annotations
@@ -90,12 +91,19 @@ class Encoder:
 
     def _ordinary(self, texts: list[str]) -> Iterator[bytes]:
         """``encode`` of texts without added tokens."""
-        for _, _, pieces, bounds in pretoken.slices(texts):
+        for _, _, raw, places, bounds in pretoken.cuts(texts):
             if len(self.pieces) > CACHED:
                 self.pieces.clear()
+            buffers = [None, pa.py_buffer(places.astype("<i8")), pa.py_buffer(raw)]
+            coded = pa.Array.from_buffers(pa.large_binary(), len(places) - 1, buffers).dictionary_encode()
+            _, distinct, own = coded.dictionary.buffers()
+            distinct, own = np.frombuffer(distinct, "<i8")[: len(coded.dictionary) + 1].tolist(), own.to_pybytes()
+            known = [self.pieces[own[a:b]] for a, b in zip(distinct, distinct[1:])]
+            ids = pa.array(known, pa.large_binary()).take(coded.indices)  # one after the other, as in the texts
+            at, joined = np.frombuffer(ids.buffers()[1], "<i8"), memoryview(ids.buffers()[2])
             first = 0
             for stop in bounds:
-                yield b"".join(map(self.pieces.__getitem__, pieces[first:stop]))
+                yield bytes(joined[at[first] : at[stop]])
                 first = stop + 1
 
 

@@ -115,6 +115,32 @@ def test_token_files_read_back_in_order(spark, documents, odd, nothing, shards):
         assert sums == {r["start"]: zlib.crc32(bytes(r["ids"])) for r in got}
 
 
+def test_token_files_are_read_without_a_shuffle_of_their_ids(spark, documents):
+    path = staging.new_folder(spark, "files")
+    token_files.write(documents, path, VOCABULARY, end_id=2, shards=3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = token_files.read(spark, path)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_piece_is_looked_up_once_a_run():
+    own, asked = tokens.Encoder(VOCABULARY), []
+
+    class Counted(type(own.pieces)):
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return super().__getitem__(piece)
+
+    own.pieces = Counted(own.tokenizer.model)
+    texts = ["one two two é two", "", " two" * 500, "one"]
+    assert [ids_of(x) for x in own.encode(texts)] == [library(x) for x in texts]
+    assert len(asked) == len(set(asked))
+
+
 def test_cut_lets_only_the_first_piece_be_short():
     assert packing.cut(5, 4) == [(0, 1), (1, 4)]
     assert packing.cut(8, 4) == [(0, 4), (4, 4)]
