@@ -94,10 +94,11 @@ def _sums(keys: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     return [keys[first], *(np.add.reduceat(x[order], first) if len(first) else x[:0] for x in values)]
 
 
-def occurrences(docs: DataFrame, by_source: bool, strings: bool, bits: int = 64, through: bytes | None = None) -> DataFrame:
+def occurrences(docs: DataFrame, by_source: bool, strings: bool, bits: int = 64, through: bytes | None = None, apart: bool = False) -> DataFrame:
     """Occurrences (``n``) and documents (``docs``) of each term in some texts of one language, or of
     one group if ``by_source``; with ``strings``, the ``term`` itself as well. Several rows a term.
-    Terms that the sieve ``through`` stops are left out."""
+    Terms that the sieve ``through`` stops are left out. With ``apart``, the terms stand in rows of
+    their own, without a source or occurrences, one for each language that some texts have them in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
@@ -116,10 +117,10 @@ def occurrences(docs: DataFrame, by_source: bool, strings: bool, bits: int = 64,
             n = np.diff(np.append(first, len(pairs)))
             of_row, code = np.divmod(pairs[first], len(terms))
             langs = chunk["lang"].dictionary_encode()
+            of_lang = langs.indices.to_numpy().astype(np.int64)
             sources = chunk["source"].dictionary_encode()
-            group = langs.indices.to_numpy().astype(np.int64)
-            if by_source:
-                group = group * len(sources.dictionary) + sources.indices.to_numpy()
+            group = of_lang * len(sources.dictionary) + sources.indices.to_numpy() if by_source else of_lang
+            once = np.unique(of_lang[of_row] * len(terms) + code) if apart else None
             keys, n, count = _sums(group[of_row] * len(terms) + code, n, np.ones(len(n), np.int64))
             group, code = np.divmod(keys, len(terms))
             lang, source = np.divmod(group, len(sources.dictionary)) if by_source else (group, None)
@@ -130,11 +131,17 @@ def occurrences(docs: DataFrame, by_source: bool, strings: bool, bits: int = 64,
                 pa.array(n),
                 pa.array(count),
             ]
-            if strings:
-                columns.append(terms.take(pa.array(code)))
-            yield pa.RecordBatch.from_arrays(columns, [*(x.split()[0] for x in COUNTS.split(", ")), *["term"] * strings])
+            if strings or apart:
+                columns.append(terms.take(pa.array(code)) if strings else pa.nulls(len(keys), pa.string()))
+            names = [x.split()[0] for x in (COUNTS + ", term string").split(", ")][: len(columns)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+            if apart:
+                lang, code = np.divmod(once, len(terms))
+                zeros = pa.array(np.zeros(len(once), np.int64))
+                columns = [langs.dictionary.take(pa.array(lang)), pa.nulls(len(once), pa.string()), pa.array(digests[code])]
+                yield pa.RecordBatch.from_arrays([*columns, zeros, zeros, terms.take(pa.array(code))], names)
 
-    return docs.mapInArrow(run, COUNTS + ", term string" * strings)
+    return docs.mapInArrow(run, COUNTS + ", term string" * (strings or apart))
 
 
 def kept_terms(docs: DataFrame, least: int, bits: int) -> tuple[DataFrame, DataFrame]:
@@ -143,13 +150,15 @@ def kept_terms(docs: DataFrame, least: int, bits: int) -> tuple[DataFrame, DataF
     by_lang = occurrences(docs, False, False, bits).groupBy("lang", "digest").agg(F.sum("docs").alias("docs"))
     likely = stage(by_lang.where(F.col("docs") >= least).select("lang", "digest"), "likely-terms")
     own = sieve(likely)
-    distinct = occurrences(docs, False, True, bits, own).select("lang", "digest", "term").distinct()
-    strings = distinct.groupBy("lang", "digest").agg(F.min("term").alias("least"), F.max("term").alias("most"))
+    # counts and strings come from one reading of the texts; a row with a string has no source
+    both = occurrences(docs, True, False, bits, own, apart=True).groupBy("lang", "source", "digest", "term")
+    both = stage(both.agg(F.sum("n").alias("n")), "term-occurrences")
+    strings = both.where("source IS NULL").groupBy("lang", "digest").agg(F.min("term").alias("least"), F.max("term").alias("most"))
     strings = stage(strings.join(likely, ["lang", "digest"], "left_semi"), "term-strings")
     shared = strings.where("least <> most").select("lang", "digest")
     alone = strings.where("least = most").select("lang", "digest")
 
-    counts = occurrences(docs, True, False, bits, own).groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"))
+    counts = both.where("source IS NOT NULL").select("lang", "source", "digest", "n")
     counts = counts.join(alone, ["lang", "digest"], "left_semi").withColumn("split", F.lit(""))
     if not shared.isEmpty():
         again = occurrences(docs, True, True, bits, sieve(shared))

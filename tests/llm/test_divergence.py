@@ -76,6 +76,14 @@ def test_against_plain_version(frame, docs, bits):
     assert rows_of(divergence.audit(frame, least=20, top=7, bits=bits)) == plain(docs, 20, 7)
 
 
+def test_texts_are_read_twice_where_no_digest_is_shared(frame, docs, monkeypatch):
+    read = []
+    monkeypatch.setattr(divergence, "occurrences", lambda *a, f=divergence.occurrences, **b: read.append(a[1:3]) or f(*a, **b))
+    lower = frame.where("lang = 'en'")
+    assert rows_of(divergence.audit(lower)) == plain([x for x in docs if x[1] == "en"], 30, 50)
+    assert len(read) == 2
+
+
 def test_without_kept_terms(frame, docs):
     rows = rows_of(divergence.audit(frame, least=10_000, top=7))
     assert rows == plain(docs, 10_000, 7) and {r[4] for r in rows} == {0}
