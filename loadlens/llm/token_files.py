@@ -38,9 +38,8 @@ _NAMES = [x.split()[0] for x in FORMAT.split(", ")]
 
 
 def write(docs: DataFrame, path: str, vocabulary: str, end_id: int, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode ``docs`` and write the files. ``shards`` defaults to the shuffle partitions."""
-    spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Encode ``docs`` and write the files. Without ``shards`` Spark decides on them: at most the shuffle
+    partitions, small ones put together where adaptive execution may."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,7 +57,8 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int, shards: int
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _TYPES)], _NAMES)
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text"))
-    ordered = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id")
+    dealt = rows.repartitionByRange(shards, "doc_id") if shards else rows.repartitionByRange("doc_id")
+    ordered = dealt.sortWithinPartitions("doc_id")
     ordered.mapInArrow(run, FORMAT).write.parquet(path)
 
 

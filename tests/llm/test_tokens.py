@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -127,6 +128,21 @@ def test_token_files_are_read_without_a_shuffle_of_their_ids(spark, documents):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_few_documents_are_few_files_whatever_the_shuffle_partitions(spark, make):
+    texts = [f"text {k}" for k in range(400)]
+    path = staging.new_folder(spark, "files")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        token_files.write(make(texts), path, VOCABULARY, end_id=2)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(list(Path(path).glob("part-*.parquet"))) <= 4
+    got = sorted(token_files.read(spark, path).collect(), key=lambda r: r["start"])
+    assert [(r["doc_id"], ids_of(r["ids"])) for r in got] == [(k, [*library(x), 2]) for k, x in enumerate(texts)]
+    assert [r["start"] for r in got] == list(np.cumsum([0, *(r["n_tokens"] for r in got)])[:-1])
+
+
 def test_a_piece_is_looked_up_once_a_run():
     own, asked = tokens.Encoder(VOCABULARY), []
 
