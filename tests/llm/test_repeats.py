@@ -250,3 +250,35 @@ def test_anchors_with_many_contexts_do_not_meet_in_a_task(make, monkeypatch, op,
         covered = words_removed(docs, length)
         want = {k: b" ".join(w for w, c in zip(words, covered[k]) if not c) for k, words in docs}
     assert out == want
+
+
+def test_an_index_takes_few_anchors_at_once(monkeypatch):
+    rng, window, anchors, m, most = random.Random(5), 24, 9, 14, 20
+    word = lambda n: bytes(rng.randrange(97, 123) for _ in range(n))
+    group, left, right, seen = [], [], [], []
+    for anchor in range(anchors):  # excerpts of one passage, each with ends of its own
+        before, after = word(window), word(window)
+        for _ in range(m):
+            a, b = rng.randint(6, window), rng.randint(6, window)
+            group.append(anchor)
+            left.append(before[:a] + word(window - a))
+            right.append(after[:b] + word(window - b))
+
+    def index(strings):
+        seen.append(len(strings.symbols))
+        return suffix_dedup.by_suffix_array(strings)
+
+    monkeypatch.setattr(repeats, "INDEXED", most, raising=False)
+    n = len(group)
+    found = repeats.match(np.array(group), left, right, np.arange(n), np.ones(n, np.int64), window, 1, False, index)
+    assert len(seen) > 1 and max(seen) < most + m
+    windows = {}
+    for k in range(n):
+        text = left[k][::-1] + right[k]
+        for at in range(window + 1):
+            windows.setdefault((group[k], at, text[at : at + window]), []).append(k)
+    want = [set() for _ in range(n)]
+    for (_, at, _), those in windows.items():
+        for k in those if len(those) > 1 else ():
+            want[k].update(range(at - window, at))
+    assert [{x for a, b in some for x in range(a, b)} for some in found] == want and sum(map(bool, want)) > n // 2
