@@ -151,12 +151,16 @@ def distinct_with_null(col: str) -> Column:
 def newest_groups(df: DataFrame, group: str, n: int, out: str) -> DataFrame:
     """Rows of the ``n`` newest groups, with the group's place (1 = newest) in ``out``.
 
-    Only the distinct groups are ranked; the ``n`` kept ones are joined back, a list
-    whose size is ``n``.
+    Only the distinct groups are ranked. The ``n`` kept ones, a list whose size is ``n``, come back as
+    values, so that Spark can drop the other groups as early as the rows of ``df`` are read.
     """
-    top = df.select(F.col(group).alias("_g")).distinct().orderBy(newest("_g")).limit(n)
+    top = staged(df.select(F.col(group).alias("_g")).distinct().orderBy(newest("_g")).limit(n))
     ranked = top.withColumn(out, F.row_number().over(Window.orderBy(newest("_g"))))
+    kept = [r[0] for r in top.collect()]
+    among = F.col(group).isin([g for g in kept if g is not None])
+    among = among | F.col(group).isNull() if None in kept else among
     return (
-        df.join(F.broadcast(ranked), F.col(group).eqNullSafe(F.col("_g")), "inner")
+        df.where(among)
+        .join(F.broadcast(ranked), F.col(group).eqNullSafe(F.col("_g")), "inner")
         .select(*df.columns, out)
     )
