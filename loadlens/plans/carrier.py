@@ -13,6 +13,7 @@ from loadlens.functions.keys import left_pad, strip_one_zero
 from loadlens.operators.columns import conform
 from loadlens.operators.joins import lookup_join
 from loadlens.operators.windows import newest_groups
+from loadlens.sources.sinks import staged
 
 # Fixed values of the reports.
 WEEKS = 13
@@ -68,17 +69,12 @@ def carrier_shipment_detail(
     """Distinct tender rows of the reported weeks with their lane's week and location.
 
     The lane rows are collapsed to one per week and lane (``lane_keys``): a join on the
-    week alone would pair every shipment of a week with every lane of it.
+    week alone would pair every shipment of a week with every lane of it. They are stored, and
+    shipments of weeks without a lane are dropped before their duplicates are looked for.
     """
     if not lane_keys:
         raise ValueError("lane_keys must name what a shipment and its lane share besides the week")
-    rows = (
-        tenders.withColumn("load_id", strip_one_zero("load_id"))
-        .select(*columns)
-        .distinct()
-        .withColumn(WEEK_KEY, week_key("actual_goods_issue_date", iso_year=iso_year))
-    )
-    lane_weeks = (
+    lane_weeks = staged(
         lanes.withColumn(WEEK_KEY, week_key("week_begin_date", iso_year=iso_year))
         .groupBy(WEEK_KEY, *lane_keys)
         .agg(
@@ -87,6 +83,15 @@ def carrier_shipment_detail(
             *[F.sum(c).alias(f"lane_{c}") for c in lane_sums],
         )
     )
+    weeks = [r[0] for r in lane_weeks.select(WEEK_KEY).dropna().distinct().collect()]
+    week = week_key("actual_goods_issue_date", iso_year=iso_year)
+    rows = (
+        tenders.where(week.isin(weeks))
+        .withColumn("load_id", strip_one_zero("load_id"))
+        .select(*columns)
+        .distinct()
+        .withColumn(WEEK_KEY, week)
+    )
     states = locations.groupBy(F.col("postal_code").alias("final_stop_postal_code")).agg(
         F.max("state_province_code").alias("state_province_code")
     )

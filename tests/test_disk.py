@@ -52,3 +52,8 @@ def test_newest_groups_drops_the_others_before_the_sums(spark):
 def test_newest_groups_counts_a_missing_group(spark):
     df = spark.sql("SELECT * FROM VALUES (1, 'a'), (CAST(NULL AS INT), 'b'), (CAST(NULL AS INT), 'c') t(g, n)")
     assert sorted(map(tuple, W.newest_groups(df, "g", 2, "place").select("n", "place").collect())) == [("a", 1), ("b", 2), ("c", 2)]
+
+
+def test_shipments_of_other_weeks_are_dropped_before_duplicates(spark, sf_dir):
+    text = plan(registry.QUERIES["carrier_shipment_detail"](spark, sf_dir))
+    assert re.search(r"Filter .*concat\(.*IN \(|Filter .*INSET", text)
