@@ -42,6 +42,14 @@ def test_staged_leaves_no_shuffle_files_and_the_settings_as_they_were(spark):
     assert df.count() == 7
 
 
+def test_two_pass_match_deals_line_items_once_for_each_side(spark, sf_dir):
+    v = Views(spark, sf_dir).as_stored(WEEKLY_COLUMNS)
+    assert v.lines.columns == WEEKLY_COLUMNS
+    keys = ["ship_week_num", "carr_num", "service_tms_code", "origin_code", "dest_ship_from_code"]
+    assert exchanges(v.weekly.groupBy(*keys).agg(F.sum("shpmt_cnt"))) == 1
+    assert exchanges(v.tender_counts.groupBy("forward_agent_id", "service_tms_code", "dest_ship_from_code", "region_code").count()) == 1
+
+
 def test_newest_groups_drops_the_others_before_the_sums(spark):
     df = spark.range(40).select((F.col("id") % 8).alias("g"), F.col("id").alias("n")).groupBy("g").agg(F.sum("n").alias("n"))
     out = W.newest_groups(df, "g", 2, "place")
