@@ -50,6 +50,10 @@ def test_two_pass_match_deals_line_items_once_for_each_side(spark, sf_dir):
     assert exchanges(v.tender_counts.groupBy("forward_agent_id", "service_tms_code", "dest_ship_from_code", "region_code").count()) == 1
 
 
+def test_right_join_forms_runs_within_the_partitions(spark, sf_dir):
+    assert exchanges(registry.QUERIES["right_join_forms"](spark, sf_dir)) == 0
+
+
 def test_newest_groups_drops_the_others_before_the_sums(spark):
     df = spark.range(40).select((F.col("id") % 8).alias("g"), F.col("id").alias("n")).groupBy("g").agg(F.sum("n").alias("n"))
     out = W.newest_groups(df, "g", 2, "place")
