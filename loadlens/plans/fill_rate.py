@@ -14,7 +14,7 @@ from loadlens.operators.aggregates import distinct_sum, fine_coarse, two_level
 from loadlens.operators.columns import apply_exprs, cast_columns, conform
 from loadlens.operators.joins import enrich, lookup_join
 from loadlens.operators.windows import latest_per_key
-from loadlens.sources.sinks import staged
+from loadlens.sources.sinks import staged, staged_by
 
 TRUCK_SUMS = ["pallet_num_qty", "pallet_spot_qty", "total_gross_weight_qty", "total_gross_vol_qty"]
 SHIPPED = {
@@ -120,7 +120,7 @@ def fill_rate_load_agg(
     material_cols: Sequence[str] = MATERIAL_COLS,
     schema: T.StructType | None = None,
     exprs: Mapping[str, str] | None = None,
-    keep: Callable[[DataFrame], DataFrame] = staged,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per load and business unit.
 
@@ -129,15 +129,18 @@ def fill_rate_load_agg(
     distinct floor positions and pallets per load, and costs per load and unit. Rows
     without a business unit have no ``load_gbu_id`` and are left out by the inner joins.
     ``material_cols`` are further columns that make a material row distinct. ``keep`` stores the
-    first-stage rows, which four aggregates read.
+    first-stage rows, which four aggregates read; the default deals them by load once, and no aggregate or
+    join moves them again. The result is stored as well, since only then is that so in any session.
     """
+    by_load = keep or (lambda df: staged_by(df, ["load_id"], int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     capped = apply_exprs(rows, X.chosen(X.FILL_CAPPED, exprs)).withColumns(
         {
             "fiscal_year_num": F.col("fiscal_year_num").try_cast("int"),
             "fiscal_year_perd_num": F.col("fiscal_year_perd_num").try_cast("int"),
         }
     )
-    first_stage = keep(capped.where(F.col("min_trans_stage_flag") == "Y"))
+    # Rows without a load find no partner in the inner joins below.
+    first_stage = by_load(capped.where((F.col("min_trans_stage_flag") == "Y") & F.col("load_id").isNotNull()))
 
     gross_sums = distinct_sum(first_stage, ["load_id"], gross)
     materials = first_stage.select(*MATERIAL_KEYS, *material_cols, *material_sums, *material_maxes).distinct()
@@ -163,4 +166,5 @@ def fill_rate_load_agg(
     main = main.join(per_load, "load_id")
     main = main.join(per_unit, ["load_id", "load_gbu_id"])
     out = main.join(cost, ["load_id", "load_gbu_id"], "left")
-    return conform(out, schema) if schema else out
+    out = conform(out, schema) if schema else out
+    return out if keep else staged(out, by_some_keys=True)

@@ -69,3 +69,7 @@ def test_newest_groups_counts_a_missing_group(spark):
 def test_shipments_of_other_weeks_are_dropped_before_duplicates(spark, sf_dir):
     text = plan(registry.QUERIES["carrier_shipment_detail"](spark, sf_dir))
     assert re.search(r"Filter .*concat\(.*IN \(|Filter .*INSET", text)
+
+
+def test_fill_rate_load_agg_deals_rows_once(spark, sf_dir):
+    assert exchanges(registry.QUERIES["fill_rate_load_agg"](spark, sf_dir)) == 0
