@@ -77,21 +77,23 @@ def fill_rate_hub(
     truck_cols: Sequence[str] = (),
     schema: T.StructType | None = None,
     exprs: Mapping[str, str] | None = None,
+    keep: Callable[[DataFrame], DataFrame] = staged,
 ) -> DataFrame:
     """One row per order and transport that has a truck report and a known vehicle, with the
-    shipped quantities and the builder priority of its load."""
+    shipped quantities and the builder priority of its load. ``keep`` stores the planned rows and the rows
+    by load, so that the shuffle files of the one are gone before those of the other are written."""
     trucks = newest_truck_reports(truck_reports, truck_cols)
     specs = apply_exprs(
         vehicles.withColumn("vehicle_true_max_weight_qty", F.col("total_weight_qty")),
         X.chosen(X.FILL_VEHICLE, exprs),
     ).drop("total_weight_qty", "length_qty", "width_qty", "height_qty")
     planned = lookup_join(newest_links(links, link_ties), trucks, {"order_num": "follow_on_doc_num"}, "inner")
-    planned = lookup_join(planned, specs, {"truck_type_code": "vehicle_trans_medium_code"}, "inner")
+    planned = keep(lookup_join(planned, specs, {"truck_type_code": "vehicle_trans_medium_code"}, "inner"))
     shipped = prepared_deliveries(deliveries, exprs)
     per_load = shipped_per_load(shipped).join(
         shipped.groupBy("load_id").agg(F.max("gi_month_num").alias("gi_month_num")), "load_id"
     )
-    per_load = enrich(per_load, builder_priority(hub, exprs), "load_id")
+    per_load = keep(enrich(per_load, builder_priority(hub, exprs), "load_id"))
     out = lookup_join(planned, per_load, "load_id")
     return conform(out, schema) if schema else out
 
