@@ -73,3 +73,8 @@ def test_shipments_of_other_weeks_are_dropped_before_duplicates(spark, sf_dir):
 
 def test_fill_rate_load_agg_deals_rows_once(spark, sf_dir):
     assert exchanges(registry.QUERIES["fill_rate_load_agg"](spark, sf_dir)) == 0
+
+
+def test_hub_by_load_needs_no_shuffle_in_any_session(spark, sf_dir):
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    assert exchanges(registry.QUERIES["on_time_hub_by_load"](spark, sf_dir)) == 0
