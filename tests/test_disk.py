@@ -75,6 +75,13 @@ def test_fill_rate_load_agg_deals_rows_once(spark, sf_dir):
     assert exchanges(registry.QUERIES["fill_rate_load_agg"](spark, sf_dir)) == 0
 
 
+def test_loading_on_time_does_not_store_the_hub(spark, sf_dir):
+    before = len(sinks._staged)
+    registry.QUERIES["loading_on_time"](spark, sf_dir)
+    wide = [p for p in sinks._staged[before:] if set(schemas.ON_TIME_HUB.names) <= set(spark.read.parquet(p).columns)]
+    assert wide == []
+
+
 def test_hub_by_load_needs_no_shuffle_in_any_session(spark, sf_dir):
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
     assert exchanges(registry.QUERIES["on_time_hub_by_load"](spark, sf_dir)) == 0
